@@ -1,0 +1,5 @@
+"""Intentionally empty: the engine being matched has no stream sources, windows or state.
+
+Every operator is a DataFrame function, so the stateless ones (predicates, promotion, facet
+explosion) also accept a streaming DataFrame; nothing stream-specific is added.
+"""
