@@ -41,7 +41,6 @@ from facetframe.operators.joins import BROADCAST_BYTES, filter_by_keys
 EXISTS = "_exists"
 HAS_NULL = "_has_null"
 ORDER = ["path", "num", "whole", "value", "key"]
-TERM = "struct<field:string,path:string,value:string,num:double,whole:bigint>"
 INTEGRAL = (BooleanType, ByteType, ShortType, IntegerType, LongType)
 CODED = (*INTEGRAL, DateType, TimestampType, TimestampNTZType)
 Term = tuple[str, Any]
@@ -61,53 +60,50 @@ def _whole(value: Column, dtype: DataType) -> Column:
     return F.lit(None)
 
 
-def _term(field: str, path: Column, value: Column, dtype: DataType) -> Column:
+def _term(field: Column, value: Column, dtype: DataType) -> Column:
+    """A posting of a value found at the column ``path``."""
     return F.struct(
-        F.lit(field).alias("field"),
-        path.alias("path"),
+        field.alias("field"),
+        F.col("path"),
         value.cast("string").alias("value"),
         _num(value, dtype).cast("double").alias("num"),
         _whole(value, dtype).cast("bigint").alias("whole"),
-    ).cast(TERM)
+    )
+
 
+def _mark(kind: str) -> Column:
+    return _term(F.lit(kind), F.lit(None).cast("string"), StringType())
 
-def _mark(kind: str, path: Column) -> Column:
-    return _term(kind, path, F.lit(None).cast("string"), StringType())
 
+def _emit(found: DataFrame, *terms: Column) -> DataFrame:
+    """The postings of each row; terms that are null for a row are left out."""
+    listed = found.select(F.inline(F.array(*terms)), "key")
+    return listed.filter(F.col("field").isNotNull())
 
-def _terms(field: str, path: Column, value: Column, dtype: DataType) -> Column:
-    """The array of postings of one value at one path; empty for null."""
-    none = F.array().cast(f"array<{TERM}>")
-    present = F.array(_mark(EXISTS, path))
+
+def _terms(found: DataFrame, field: str, dtype: DataType) -> list[DataFrame]:
+    """Postings of ``(key, path, value)`` rows, each part reading nothing but that value."""
+    value, owner = F.col("value"), F.lit(field)
+    present = found.filter(value.isNotNull())
     if isinstance(dtype, MapType):
-        entry = F.map_entries(value)
-        keys = F.transform(F.map_keys(value), lambda k: _term(field, path, k, dtype.keyType))
-        inside = F.flatten(
-            F.transform(
-                entry,
-                lambda e: _terms(
-                    field,
-                    F.concat(path, F.lit("."), e["key"].cast("string")),
-                    e["value"],
-                    dtype.valueType,
-                ),
-            )
-        )
-        found = F.concat(present, keys, inside)
-    elif isinstance(dtype, ArrayType):
+        entries = found.select("key", "path", F.explode("value").alias("entry_key", "value"))
+        entry_key = _term(owner, F.col("entry_key"), dtype.keyType)
+        deeper = entries.withColumn("path", F.concat_ws(".", "path", F.col("entry_key").cast("string")))
+        return [
+            _emit(present, _mark(EXISTS)),
+            _emit(entries, entry_key),
+            *_terms(deeper.drop("entry_key"), field, dtype.valueType),
+        ]
+    if isinstance(dtype, ArrayType):
         _check_atomic(dtype.elementType)
-        terms = F.transform(
-            F.array_distinct(F.filter(value, lambda x: x.isNotNull())),
-            lambda x: _term(field, path, x, dtype.elementType),
-        )
-        has_null = F.exists(value, lambda x: x.isNull())
-        found = F.concat(
-            present, F.when(has_null, F.array(_mark(HAS_NULL, path))).otherwise(none), terms
-        )
-    else:
-        _check_atomic(dtype)
-        found = F.concat(present, F.array(_term(field, path, value, dtype)))
-    return F.when(value.isNull(), none).otherwise(found)
+        elements = found.select("key", "path", F.explode(F.array_distinct("value")).alias("value"))
+        kind = F.when(value.isNull(), F.lit(HAS_NULL)).otherwise(owner)
+        return [
+            _emit(present, _mark(EXISTS)),
+            _emit(elements, _term(kind, value, dtype.elementType)),
+        ]
+    _check_atomic(dtype)
+    return [_emit(present, _mark(EXISTS), _term(owner, value, dtype))]
 
 
 def _check_atomic(dtype: DataType) -> None:
@@ -127,13 +123,17 @@ def _field_of(df: DataFrame, path: str) -> str:
 def postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
     """``(field, path, value, num, whole, key)`` for every term of the given paths.
 
-    All paths are exploded together from one scan. Repeated array elements are dropped inside the
-    row, so with a unique ``key`` the result is distinct without a shuffle.
+    Every part is a scan of the key and one path that explodes straight into its postings, so
+    ``df`` should be a stored table rather than an expensive query. Repeated array elements are
+    dropped inside the row: with a unique ``key`` the result is distinct without a shuffle.
     """
-    parts = [
-        _terms(_field_of(df, p), F.lit(P.plain(p)), F.col(p), P.path_type(df, p)) for p in paths
-    ]
-    return df.select(F.inline(F.concat(*parts)), F.col(key).alias("key"))
+    parts = []
+    for path in paths:
+        found = df.select(
+            F.col(key).alias("key"), F.lit(P.plain(path)).alias("path"), F.col(path).alias("value")
+        )
+        parts += _terms(found, _field_of(df, path), P.path_type(df, path))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def write_postings(terms: DataFrame, path: str, *, mode: str = "overwrite") -> None:

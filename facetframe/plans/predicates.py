@@ -266,7 +266,7 @@ def filter_or(spark, sf_dir):
     ORDERS_SQL
     + """SELECT o_orderkey, o_orderstatus FROM orders_nested
 WHERE attrs['status'] <> 'F' AND attrs['priority'] NOT IN ('1-URGENT', '2-HIGH')
-  AND NOT list_contains(flags, 'A')
+  AND NOT list_contains(flags, 'N')
   AND NOT CASE WHEN list_contains(marks, 'R') THEN true
                WHEN len(list_filter(marks, lambda x: x IS NULL)) > 0 THEN NULL ELSE false END"""
 )
@@ -275,7 +275,7 @@ def filter_not(spark, sf_dir):
         orders_nested(spark, sf_dir)
         .filter(col("attrs.status") != "F")
         .filter(~col("attrs.priority").isin("1-URGENT", "2-HIGH"))
-        .filter(~contains_value("flags", "A") & ~contains_value("marks", "R"))
+        .filter(~contains_value("flags", "N") & ~contains_value("marks", "R"))
         .select("o_orderkey", "o_orderstatus")
     )
 

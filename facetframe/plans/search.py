@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from facetframe.operators import search as S
 from facetframe.plans.prepared import doc_postings, order_postings, orders_table
 from facetframe.plans.registry import query
-from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL, docs_nested, orders_nested
+from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL, docs_nested
 from facetframe.sources.tables import read_table
 
 col = F.col
@@ -60,7 +60,7 @@ FOUND = ORDERS_SQL + "SELECT o_orderkey, o_totalprice FROM orders_nested WHERE "
 SELECT * FROM terms"""
 )
 def postings_terms(spark, sf_dir):
-    terms = S.postings(orders_nested(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
+    terms = S.postings(_base(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
     return terms.select("field", "path", "value", "key")
 
 
