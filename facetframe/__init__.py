@@ -16,6 +16,7 @@ from facetframe.operators.search import (
     lookup,
     lookup_all,
     lookup_any,
+    lookup_keys,
     lookup_not,
     lookup_prefix,
     lookup_range,
@@ -42,6 +43,7 @@ __all__ = [
     "lookup",
     "lookup_all",
     "lookup_any",
+    "lookup_keys",
     "lookup_not",
     "lookup_prefix",
     "lookup_range",

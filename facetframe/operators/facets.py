@@ -66,11 +66,11 @@ def facet(
     """
     if where is not None:
         df = df.filter(where)
-    keys: dict[str, str] = {}
-    for i, (name, path) in enumerate(named_paths(df, by).items()):
-        key = keys[name] = f"__key_{i}"
-        value = path_column(df, path)
-        if is_array(df, path):
-            value = F.explode_outer(F.array_distinct(value) if dedup else value)
-        df = df.select("*", value.alias(key))
+    named = named_paths(df, by)
+    keys = {name: f"__key_{i}" for i, name in enumerate(named)}
+    arrays = [keys[name] for name, path in named.items() if is_array(df, path)]
+    df = df.select("*", *[path_column(df, p).alias(keys[name]) for name, p in named.items()])
+    for key in arrays:
+        elements = F.array_distinct(key) if dedup else F.col(key)
+        df = df.withColumn(key, F.explode_outer(elements))
     return _grouped(df, keys, aggs)

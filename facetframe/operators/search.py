@@ -210,6 +210,11 @@ def _rows(base: DataFrame, keys: DataFrame, key: str, limit: int) -> DataFrame:
     return filter_by_keys(base, found, [key], "left_semi", limit=limit)
 
 
+def lookup_keys(base: DataFrame, postings: DataFrame, path: str, value: Any) -> DataFrame:
+    """``key`` of every row with the exact term. Enough to count hits, without reading the base."""
+    return postings.filter(_is_term(base, path, value)).select("key")
+
+
 def lookup(
     base: DataFrame,
     postings: DataFrame,
@@ -224,7 +229,7 @@ def lookup(
     The matching keys are measured first (one pruned scan of the postings) and broadcast when
     small, so the base is not shuffled for a selective term; ``limit=0`` skips the measuring.
     """
-    return _rows(base, postings.filter(_is_term(base, path, value)), key, limit)
+    return _rows(base, lookup_keys(base, postings, path, value), key, limit)
 
 
 def lookup_all(

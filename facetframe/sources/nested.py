@@ -139,7 +139,7 @@ def docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(
         "doc_id",
         "text",
-        F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "").alias("words"),
+        F.array_remove(F.split(F.lower("text"), "[^a-z]+"), "").alias("words"),
         F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("meta"),
         "n_chars",
     )
