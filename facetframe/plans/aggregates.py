@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from facetframe.operators.facets import group_paths
+from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
     CUSTOMER_SQL,
     ORDERS_SQL,
     events_nested,
-    orders_nested,
-    orders_with_customer,
     table,
 )
 
@@ -21,7 +20,7 @@ col = F.col
 @query(ORDERS_SQL + "SELECT year, count(*) AS n, count(1) AS n_lit FROM orders_nested GROUP BY year")
 def count_rows(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "year",
         {"n": F.count("*"), "n_lit": F.count(F.lit(1))},
     )
@@ -34,7 +33,7 @@ def count_rows(spark, sf_dir):
 )
 def count_values(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "o_orderstatus",
         {
             "n_closed": F.count("closed"),
@@ -55,7 +54,7 @@ def _extreme(fn: str) -> str:
 
 def _extremes(spark, sf_dir, fn):
     return group_paths(
-        orders_with_customer(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "year",
         {
             "price": fn("o_totalprice"),
@@ -104,7 +103,7 @@ FROM orders_nested GROUP BY year, o_orderstatus, closed"""
 )
 def group_columns(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         ["year", "o_orderstatus", "closed"],
         {"n": F.count("*"), "total": F.round(F.sum("o_totalprice"), 2)},
     )
@@ -117,7 +116,7 @@ def group_columns(spark, sf_dir):
 )
 def group_map_key(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         {"tier": "attrs.`tier.1`"},
         {"n": F.count("o_totalprice"), "total": F.round(F.sum("o_totalprice"), 2)},
     )
@@ -130,7 +129,7 @@ def group_map_key(spark, sf_dir):
 )
 def group_struct_field(spark, sf_dir):
     return group_paths(
-        orders_with_customer(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         ["cust.segment", "detail.priority", "attrs.status"],
         {"n": F.count("*")},
     )
@@ -143,7 +142,7 @@ def group_struct_field(spark, sf_dir):
        count(*) FILTER (WHERE year > 2050) AS n_future FROM orders_nested"""
 )
 def aggregate_all(spark, sf_dir):
-    return orders_nested(spark, sf_dir).agg(
+    return nested_orders(spark, sf_dir).agg(
         F.count("*").alias("n"),
         F.count("closed").alias("n_closed"),
         F.min("o_totalprice").alias("lowest"),
@@ -160,7 +159,7 @@ FROM orders_nested WHERE attrs['status'] = 'absent'"""
 )
 def aggregate_no_rows(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(col("attrs.status") == "absent")
         .agg(
             F.count("*").alias("n"),
@@ -172,7 +171,7 @@ def aggregate_no_rows(spark, sf_dir):
 
 @query(ORDERS_SQL + "SELECT DISTINCT attrs['status'] AS status, year FROM orders_nested")
 def distinct_keys(spark, sf_dir):
-    return group_paths(orders_nested(spark, sf_dir), ["attrs.status", "year"], {})
+    return group_paths(nested_orders(spark, sf_dir), ["attrs.status", "year"], {})
 
 
 @query(
@@ -184,7 +183,7 @@ FROM orders_nested GROUP BY year"""
 def aggregate_expressions(spark, sf_dir):
     last = F.max("o_orderkey")
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "year",
         {
             "next_key": last + 1,
@@ -203,7 +202,7 @@ GROUP BY attrs['priority']"""
 )
 def filter_then_group(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "attrs.priority",
         {"n": F.count("*"), "highest": F.max("o_totalprice")},
         where="attrs['status'] = 'F' AND array_contains(by_status['O'], 'N')",
@@ -310,7 +309,7 @@ FROM orders_nested GROUP BY year"""
 )
 def filtered_aggregates(spark, sf_dir):
     return group_paths(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "year",
         {
             "n_high": F.count_if(col("attrs.`tier.1`") == "high"),

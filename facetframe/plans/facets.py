@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from facetframe.operators.facets import facet
+from facetframe.plans.prepared import nested_docs, nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
     CUSTOMER_SQL,
     DOCS_SQL,
     ORDERS_SQL,
-    docs_nested,
-    orders_nested,
-    orders_with_customer,
 )
 
 col = F.col
@@ -29,7 +27,7 @@ def outer(array: str) -> str:
     + " GROUP BY flags"
 )
 def facet_array(spark, sf_dir):
-    return facet(orders_nested(spark, sf_dir), "flags")
+    return facet(nested_orders(spark, sf_dir), "flags")
 
 
 @query(
@@ -38,7 +36,7 @@ def facet_array(spark, sf_dir):
     + " GROUP BY word"
 )
 def facet_words(spark, sf_dir):
-    return facet(docs_nested(spark, sf_dir), {"word": "words"}, {"n": F.count("*")})
+    return facet(nested_docs(spark, sf_dir), {"word": "words"}, {"n": F.count("*")})
 
 
 @query(
@@ -47,7 +45,7 @@ def facet_words(spark, sf_dir):
 (SELECT {outer("by_status['F']")} AS flag FROM orders_nested) GROUP BY flag"""
 )
 def facet_map_of_array(spark, sf_dir):
-    return facet(orders_nested(spark, sf_dir), {"flag": "by_status.F"}, {"n": F.count("*")})
+    return facet(nested_orders(spark, sf_dir), {"flag": "by_status.F"}, {"n": F.count("*")})
 
 
 @query(
@@ -56,7 +54,7 @@ def facet_map_of_array(spark, sf_dir):
 (SELECT {outer("detail.flags")} AS flags FROM orders_nested) GROUP BY flags"""
 )
 def facet_struct_array(spark, sf_dir):
-    return facet(orders_nested(spark, sf_dir), "detail.flags", {"n": F.count("*")})
+    return facet(nested_orders(spark, sf_dir), "detail.flags", {"n": F.count("*")})
 
 
 @query(
@@ -68,7 +66,7 @@ GROUP BY on_f, on_o"""
 )
 def facet_several(spark, sf_dir):
     return facet(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         {"on_f": "by_status.F", "on_o": "by_status.O"},
         {"n": F.count("*")},
     )
@@ -82,7 +80,7 @@ def facet_several(spark, sf_dir):
 )
 def facet_metrics(spark, sf_dir):
     return facet(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "flags",
         {
             "n": F.count("*"),
@@ -100,7 +98,7 @@ def facet_metrics(spark, sf_dir):
     + " WHERE marks IS NULL GROUP BY marks"
 )
 def facet_null_bucket(spark, sf_dir):
-    buckets = facet(orders_nested(spark, sf_dir), "marks", {"n": F.count("*")})
+    buckets = facet(nested_orders(spark, sf_dir), "marks", {"n": F.count("*")})
     return buckets.filter(col("marks").isNull())
 
 
@@ -116,7 +114,7 @@ GROUP BY marks"""
 )
 def facet_once_per_row(spark, sf_dir):
     return facet(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "marks",
         {"n": F.count("*"), "total": F.round(F.sum("o_totalprice"), 2)},
         dedup=True,
@@ -129,7 +127,7 @@ def facet_once_per_row(spark, sf_dir):
 (SELECT {outer("list_distinct(words)")} AS word FROM docs_nested) GROUP BY word"""
 )
 def facet_words_once(spark, sf_dir):
-    return facet(docs_nested(spark, sf_dir), {"word": "words"}, {"n": F.count("*")}, dedup=True)
+    return facet(nested_docs(spark, sf_dir), {"word": "words"}, {"n": F.count("*")}, dedup=True)
 
 
 @query(
@@ -141,7 +139,7 @@ GROUP BY flags"""
 )
 def facet_filtered(spark, sf_dir):
     return facet(
-        orders_nested(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         "flags",
         {"n": F.count("*")},
         where="attrs['status'] = 'O' AND day > '1997-05-29' AND array_contains(flags, 'R')",
@@ -156,7 +154,7 @@ GROUP BY flags, segment, year"""
 )
 def facet_mixed(spark, sf_dir):
     return facet(
-        orders_with_customer(spark, sf_dir),
+        nested_orders(spark, sf_dir),
         ["flags", "cust.segment", "year"],
         {"n": F.count("*"), "highest": F.max("o_totalprice")},
     )

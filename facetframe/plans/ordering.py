@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from facetframe.operators.paging import has_next, page
+from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
-from facetframe.sources.nested import ORDERS_SQL, orders_nested, table
+from facetframe.sources.nested import ORDERS_SQL, table
 
 col = F.col
 
@@ -18,7 +19,7 @@ ORDER BY tier ASC NULLS FIRST, o_orderkey DESC NULLS LAST LIMIT 500"""
 )
 def sort_default_nulls(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .select("o_orderkey", col("attrs.`tier.1`").alias("tier"))
         .orderBy(col("tier").asc(), col("o_orderkey").desc())
         .limit(500)
@@ -32,7 +33,7 @@ ORDER BY tier DESC NULLS FIRST, attrs['status'] ASC NULLS LAST, o_orderkey LIMIT
 )
 def sort_explicit_nulls(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .orderBy(
             col("attrs.`tier.1`").desc_nulls_first(),
             col("attrs.status").asc_nulls_last(),
@@ -84,7 +85,7 @@ ORDER BY o_totalprice, o_orderkey LIMIT 25"""
 )
 def first_hits(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(col("attrs.status") == "F")
         .select("o_orderkey", "o_totalprice")
         .orderBy("o_totalprice", "o_orderkey")

@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 
 from facetframe.functions.predicates import contains_value, has_key, key_equals
 from facetframe.operators.text import token_filter
+from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
     CUSTOMER_SQL,
     ORDERS_SQL,
     events_nested,
-    orders_nested,
-    orders_with_customer,
     table,
 )
 
@@ -30,7 +29,7 @@ WHERE ('F' = attrs['status'] AND year = 1997) OR o_custkey = 42 OR day = DATE '1
 )
 def filter_equal(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             ((F.lit("F") == col("attrs.status")) & (col("year") == 1997))
             | (col("o_custkey") == 42)
@@ -50,7 +49,7 @@ WHERE closed IS NOT DISTINCT FROM NULL OR attrs['tier.1'] IS NOT DISTINCT FROM '
 )
 def filter_null_safe_equal(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             col("closed").eqNullSafe(F.lit(None)) | col("attrs.`tier.1`").eqNullSafe(F.lit("high"))
         )
@@ -73,7 +72,7 @@ def _compared(spark, sf_dir, compare):
         | compare(col("closed"), F.lit(True))
     )
     return (
-        orders_nested(spark, sf_dir).filter(condition).select("o_orderkey", "year", "o_totalprice")
+        nested_orders(spark, sf_dir).filter(condition).select("o_orderkey", "year", "o_totalprice")
     )
 
 
@@ -105,7 +104,7 @@ WHERE cust.segment > 'BUILDING' AND cust.segment <= 'HOUSEHOLD' AND attrs['prior
 def filter_string_range(spark, sf_dir):
     segment = col("cust.segment")
     return (
-        orders_with_customer(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter((segment > "BUILDING") & (segment <= "HOUSEHOLD") & (col("attrs.priority") >= "3"))
         .select("o_orderkey", segment.alias("segment"))
     )
@@ -142,7 +141,7 @@ WHERE attrs['priority'] IN ('1-URGENT', '5-LOW') AND year IN (1996, 1999)
 )
 def filter_in(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             (col("attrs.priority").isin("1-URGENT", "5-LOW") & col("year").isin(1996, 1999))
             | col("o_custkey").isin(CUSTOMERS)
@@ -169,7 +168,7 @@ WHERE suffix(attrs['priority'], 'LOW') OR suffix(attrs['priority'], '_SPECIFIED'
 def filter_ends_with(spark, sf_dir):
     priority = col("attrs.priority")
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             priority.endswith("LOW")
             | priority.endswith("_SPECIFIED")
@@ -202,7 +201,7 @@ def filter_is_null(spark, sf_dir):
     no_flags, no_name = col("flags").isNull(), col("cust.name").isNull()
     no_tier = col("attrs.`tier.1`").isNull()
     return (
-        orders_with_customer(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(no_flags | no_name | no_tier)
         .select(
             "o_orderkey",
@@ -220,7 +219,7 @@ WHERE attrs['status'] IS NOT NULL AND detail.flags IS NOT NULL AND by_status['O'
 )
 def filter_is_not_null(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter("attrs['status'] IS NOT NULL AND detail.flags IS NOT NULL")
         .filter(col("by_status.O").isNotNull())
         .select("o_orderkey", col("attrs.status").alias("status"))
@@ -234,7 +233,7 @@ WHERE attrs['status'] = 'O' AND day > DATE '1997-06-30' AND list_contains(flags,
 )
 def filter_and(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             (col("attrs.status") == "O")
             & (col("day") > date(1997, 6, 30))
@@ -251,7 +250,7 @@ WHERE attrs['tier.1'] = 'high' OR list_contains(by_status['F'], 'A') OR day < DA
 )
 def filter_or(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(
             (col("attrs.`tier.1`") == "high")
             | contains_value("by_status.F", "A")
@@ -272,7 +271,7 @@ WHERE attrs['status'] <> 'F' AND attrs['priority'] NOT IN ('1-URGENT', '2-HIGH')
 )
 def filter_not(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(col("attrs.status") != "F")
         .filter(~col("attrs.priority").isin("1-URGENT", "2-HIGH"))
         .filter(~contains_value("flags", "N") & ~contains_value("marks", "R"))
@@ -287,7 +286,7 @@ WHERE true AND (false OR attrs['status'] = 'F')"""
 )
 def filter_literal(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(F.lit(True) & (F.lit(False) | (col("attrs.status") == "F")))
         .select("o_orderkey", "year")
     )
@@ -300,7 +299,7 @@ WHERE list_contains(flags, 'N') AND list_contains(detail.flags, 'A')"""
 )
 def contains_array(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(contains_value("flags", "N") & contains_value("detail.flags", "A"))
         .select("o_orderkey", F.size("flags").cast("bigint").alias("n_flags"))
     )
@@ -312,7 +311,7 @@ def contains_array(spark, sf_dir):
 )
 def contains_map_of_array(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(contains_value("by_status.O", "R"))
         .select("o_orderkey")
     )
@@ -339,7 +338,7 @@ WHERE attrs['status'] = 'F' AND attrs['tier.1'] = 'high'"""
 )
 def map_key_equal(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(key_equals("attrs", "status", "F") & key_equals("attrs", "tier.1", "high"))
         .select("o_orderkey", col("attrs.priority").alias("priority"))
     )
@@ -361,7 +360,7 @@ WHERE list_contains(map_keys(attrs), 'tier.1')"""
 )
 def map_has_key(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter(has_key("attrs", "tier.1"))
         .select("o_orderkey", col("attrs.`tier.1`").isNull().alias("null_tier"))
     )
@@ -376,7 +375,7 @@ WHERE year = 1997 AND attrs['status'] = 'O' AND list_contains(flags, 'R')
 def filter_with_residual(spark, sf_dir):
     average = table(spark, sf_dir, "orders").agg(F.avg("o_totalprice")).scalar()
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter((col("year") == 1997) & (col("attrs.status") == "O") & contains_value("flags", "R"))
         .filter((col("o_totalprice") > average) & (col("o_orderkey") % 7 > col("o_custkey") % 5))
         .select("o_orderkey", "o_totalprice")
@@ -403,7 +402,7 @@ def token_match_turns(spark, sf_dir):
 @query(ORDERS_SQL + "SELECT o_orderkey, detail.urgent AS urgent FROM orders_nested WHERE closed")
 def filter_boolean_column(spark, sf_dir):
     return (
-        orders_nested(spark, sf_dir)
+        nested_orders(spark, sf_dir)
         .filter("closed")
         .select("o_orderkey", col("detail.urgent").alias("urgent"))
     )

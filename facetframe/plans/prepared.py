@@ -1,4 +1,8 @@
-"""Tables written once per session and reused by the queries that read written tables."""
+"""Nested tables and their postings, written once per session and read by the queries.
+
+They are derived from the flat inputs by Spark and stored in the scratch folder, as a user would
+store a nested table once and query it many times.
+"""
 
 from __future__ import annotations
 
@@ -6,10 +10,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from facetframe.functions.paths import without_promoted
 from facetframe.operators.search import postings, write_postings
 from facetframe.sources.nested import docs_nested, orders_nested
 from facetframe.sources.scratch import scratch_path
-from facetframe.sources.tables import write_table
+from facetframe.sources.tables import read_table, write_table
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -36,7 +41,7 @@ def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str],
     return _written[slot]
 
 
-def orders_table(spark: SparkSession, sf_dir: str) -> str:
+def orders_path(spark: SparkSession, sf_dir: str) -> str:
     """Nested orders with promoted map keys, sorted for selective filters on the status."""
 
     def write(path: str) -> None:
@@ -51,27 +56,43 @@ def orders_table(spark: SparkSession, sf_dir: str) -> str:
     return written(spark, sf_dir, "orders", write)
 
 
-def orders_by_year(spark: SparkSession, sf_dir: str) -> str:
+def orders_by_year_path(spark: SparkSession, sf_dir: str) -> str:
     def write(path: str) -> None:
         write_table(
-            orders_nested(spark, sf_dir), path, partition_by=["year"], sort_by=["o_orderkey"]
+            without_promoted(nested_orders(spark, sf_dir)),
+            path,
+            partition_by=["year"],
+            sort_by=["o_orderkey"],
         )
 
     return written(spark, sf_dir, "orders_by_year", write)
 
 
+def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, orders_path(spark, sf_dir))
+
+
+def nested_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(path: str) -> None:
+        write_table(docs_nested(spark, sf_dir), path)
+
+    return read_table(spark, written(spark, sf_dir, "docs", write))
+
+
 def _postings(
     spark: SparkSession, sf_dir: str, name: str, df: DataFrame, key: str, paths: Sequence[str]
 ) -> DataFrame:
-    path = written(spark, sf_dir, name, lambda p: write_postings(postings(df, key, paths), p))
-    return spark.read.parquet(path)
+    def write(path: str) -> None:
+        write_postings(postings(df, key, paths), path)
+
+    return spark.read.parquet(written(spark, sf_dir, name, write))
 
 
 def order_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(orders_table(spark, sf_dir))
+    orders = nested_orders(spark, sf_dir)
     return _postings(spark, sf_dir, "order_postings", orders, "o_orderkey", ORDER_TERMS)
 
 
 def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = docs_nested(spark, sf_dir)
+    docs = nested_docs(spark, sf_dir)
     return _postings(spark, sf_dir, "doc_postings", docs, "doc_id", ["words", "meta", "n_chars"])

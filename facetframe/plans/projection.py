@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from facetframe.operators.profile import path_profile
+from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
     CUSTOMER_SQL,
     ORDERS_SQL,
     events_nested,
-    orders_nested,
-    orders_with_customer,
     table,
 )
 
@@ -29,7 +28,7 @@ def select_columns(spark, sf_dir):
 FROM orders_nested WHERE o_totalprice > 400000"""
 )
 def select_aliases(spark, sf_dir):
-    renamed = orders_nested(spark, sf_dir).select(
+    renamed = nested_orders(spark, sf_dir).select(
         col("o_orderkey").alias("order key"),
         col("o_totalprice").alias("total.price"),
         col("attrs.status").alias("état"),
@@ -43,7 +42,7 @@ def select_aliases(spark, sf_dir):
 FROM orders_cust"""
 )
 def struct_field(spark, sf_dir):
-    return orders_with_customer(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey", "cust.name", "cust.segment", "detail.urgent"
     )
 
@@ -54,7 +53,7 @@ def struct_field(spark, sf_dir):
        attrs['absent'] AS absent FROM orders_nested"""
 )
 def map_value(spark, sf_dir):
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         col("attrs.status").alias("status"),
         col("attrs")["tier.1"].alias("tier"),
@@ -68,7 +67,7 @@ def map_value(spark, sf_dir):
        lines[1].status AS first_status FROM orders_nested"""
 )
 def array_element(spark, sf_dir):
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         F.get("flags", F.lit(0)).alias("first_flag"),
         F.get("flags", F.lit(2)).alias("third_flag"),
@@ -82,7 +81,7 @@ def array_element(spark, sf_dir):
        array_to_string([x.status FOR x IN lines], '|') AS statuses FROM orders_nested"""
 )
 def array_struct_field(spark, sf_dir):
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         F.array_join("lines.flag", "|").alias("flags"),
         F.array_join("lines.status", "|").alias("statuses"),
@@ -97,7 +96,7 @@ def array_struct_field(spark, sf_dir):
 )
 def map_keys_values(spark, sf_dir):
     values = F.transform(F.map_values("attrs"), lambda v: F.coalesce(v, F.lit("~")))
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         F.array_join(F.array_sort(F.map_keys("attrs")), "|").alias("keys"),
         F.array_join(F.array_sort(values), "|").alias("vals"),
@@ -114,7 +113,7 @@ def collection_size(spark, sf_dir):
     def size(column):
         return F.coalesce(F.size(column).cast("bigint"), F.lit(-1))
 
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         size(col("flags")).alias("n_flags"),
         size(col("attrs")).alias("n_attrs"),
@@ -138,7 +137,7 @@ def nested_round_trip(spark, sf_dir):
         lambda k: F.concat(k, F.lit("="), F.coalesce(col("attrs")[k], F.lit("~"))),
     )
     flags = F.coalesce(col("detail.flags"), F.array(F.lit("none")))
-    return orders_nested(spark, sf_dir).select(
+    return nested_orders(spark, sf_dir).select(
         "o_orderkey",
         F.array_join("marks", "|", "~").alias("marks"),
         F.array_join(entries, "|").alias("attrs"),
@@ -168,7 +167,7 @@ UNION ALL SELECT 'detail.flags', 'string', count(detail.flags) FROM orders_neste
 )
 def profile_paths(spark, sf_dir):
     columns = ["o_orderkey", "closed", "day", "attrs", "lines", "marks", "by_status", "detail"]
-    return path_profile(orders_nested(spark, sf_dir).select(*columns))
+    return path_profile(nested_orders(spark, sf_dir).select(*columns))
 
 
 @query(

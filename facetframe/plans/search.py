@@ -7,19 +7,14 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from facetframe.operators import search as S
-from facetframe.plans.prepared import doc_postings, order_postings, orders_table
+from facetframe.plans.prepared import doc_postings, nested_docs, nested_orders, order_postings
 from facetframe.plans.registry import query
-from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL, docs_nested
-from facetframe.sources.tables import read_table
+from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL
 
 col = F.col
 KEY = "o_orderkey"
 
 
-def _base(spark, sf_dir):
-    return read_table(spark, orders_table(spark, sf_dir))
-
-
 def _found(rows):
     return rows.select(KEY, "o_totalprice")
 
@@ -60,20 +55,20 @@ FOUND = ORDERS_SQL + "SELECT o_orderkey, o_totalprice FROM orders_nested WHERE "
 SELECT * FROM terms"""
 )
 def postings_terms(spark, sf_dir):
-    terms = S.postings(_base(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
+    terms = S.postings(nested_orders(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
     return terms.select("field", "path", "value", "key")
 
 
 @query(FOUND + "list_contains(flags, 'R')")
 def lookup_array(spark, sf_dir):
-    return _found(S.lookup(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "flags", "R"))
+    return _found(S.lookup(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "flags", "R"))
 
 
 @query(FOUND + "attrs['tier.1'] = 'high'")
 def lookup_map_key(spark, sf_dir):
     return _found(
         S.lookup(
-            _base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`", "high"
+            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`", "high"
         )
     )
 
@@ -81,14 +76,14 @@ def lookup_map_key(spark, sf_dir):
 @query(FOUND + "list_contains(map_keys(attrs), 'tier.1')")
 def lookup_has_key(spark, sf_dir):
     return _found(
-        S.lookup(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs", "tier.1")
+        S.lookup(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs", "tier.1")
     )
 
 
 @query(DOCS_SQL + "SELECT doc_id, n_chars FROM docs_nested WHERE list_contains(words, 'the')")
 def lookup_word(spark, sf_dir):
     found = S.lookup(
-        docs_nested(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "the"
+        nested_docs(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "the"
     )
     return found.select("doc_id", "n_chars")
 
@@ -107,7 +102,7 @@ def lookup_all_terms(spark, sf_dir):
         ("year", 1997),
     ]
     return _found(
-        S.lookup_all(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
+        S.lookup_all(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
     )
 
 
@@ -115,7 +110,7 @@ def lookup_all_terms(spark, sf_dir):
 def lookup_any_term(spark, sf_dir):
     terms = [("attrs.priority", "1-URGENT"), ("by_status.F", "N"), ("year", 1995)]
     return _found(
-        S.lookup_any(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
+        S.lookup_any(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
     )
 
 
@@ -126,28 +121,28 @@ def lookup_any_term(spark, sf_dir):
 )
 def lookup_not_term(spark, sf_dir):
     return _found(
-        S.lookup_not(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "marks", "R")
+        S.lookup_not(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "marks", "R")
     )
 
 
 @query(FOUND + "attrs['status'] <> 'O'")
 def lookup_not_map_key(spark, sf_dir):
     return _found(
-        S.lookup_not(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.status", "O")
+        S.lookup_not(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.status", "O")
     )
 
 
 @query(FOUND + "attrs['tier.1'] IS NOT NULL")
 def lookup_exists(spark, sf_dir):
     return _found(
-        S.exists(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
+        S.exists(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
     )
 
 
 @query(FOUND + "attrs['tier.1'] IS NULL")
 def lookup_missing(spark, sf_dir):
     return _found(
-        S.missing(_base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
+        S.missing(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
     )
 
 
@@ -185,7 +180,7 @@ WHERE len(list_filter(words, lambda w: starts_with(w, 'thr'))) > 0"""
 )
 def lookup_by_prefix(spark, sf_dir):
     found = S.lookup_prefix(
-        docs_nested(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "thr"
+        nested_docs(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "thr"
     )
     return found.select("doc_id", "n_chars")
 
@@ -194,7 +189,7 @@ def lookup_by_prefix(spark, sf_dir):
 def lookup_string_range(spark, sf_dir):
     return _found(
         S.lookup_range(
-            _base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.priority", "2", "4"
+            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.priority", "2", "4"
         )
     )
 
@@ -203,7 +198,7 @@ def lookup_string_range(spark, sf_dir):
 def lookup_number_range(spark, sf_dir):
     return _found(
         S.lookup_range(
-            _base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "o_totalprice", 9000, 100000.5
+            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "o_totalprice", 9000, 100000.5
         )
     )
 
@@ -212,6 +207,6 @@ def lookup_number_range(spark, sf_dir):
 def lookup_date_range(spark, sf_dir):
     return _found(
         S.lookup_range(
-            _base(spark, sf_dir), order_postings(spark, sf_dir), KEY, "day", date(1999, 2, 28)
+            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "day", date(1999, 2, 28)
         )
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from facetframe.functions.paths import path_column, promoted_columns, quoted, without_promoted
 from facetframe.operators.upsert import upsert
-from facetframe.plans.prepared import orders_by_year, orders_table
+from facetframe.plans.prepared import nested_orders, orders_by_year_path, orders_path
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, orders_nested, table
 from facetframe.sources.scratch import scratch_path
@@ -52,7 +52,7 @@ def table_write(spark, sf_dir):
   array_to_string(by_status['F'], '|') AS on_f, detail.urgent AS urgent FROM orders_nested"""
 )
 def table_read(spark, sf_dir):
-    return without_promoted(read_table(spark, orders_table(spark, sf_dir))).select(
+    return without_promoted(nested_orders(spark, sf_dir)).select(
         "o_orderkey",
         col("day").cast("string").alias("day"),
         attrs_text().alias("attrs"),
@@ -79,7 +79,7 @@ def table_schema(spark, sf_dir):
     }
     types = [F.typeof(c).alias(n) for n, c in names.items()]
     return (
-        read_table(spark, orders_table(spark, sf_dir))
+        nested_orders(spark, sf_dir)
         .select(*types)
         .groupBy(*names)
         .agg(F.count("*").alias("n"))
@@ -94,7 +94,7 @@ def table_schema(spark, sf_dir):
 def table_user_schema(spark, sf_dir):
     schema = "o_orderkey BIGINT, attrs MAP<STRING,STRING>, flags ARRAY<STRING>, absent STRING"
     return (
-        read_table(spark, orders_table(spark, sf_dir), schema)
+        read_table(spark, orders_path(spark, sf_dir), schema)
         .filter(col("flags").isNotNull())
         .select(
             "o_orderkey",
@@ -112,7 +112,7 @@ FROM orders_nested GROUP BY year"""
 )
 def table_partitioned(spark, sf_dir):
     return (
-        read_table(spark, orders_by_year(spark, sf_dir))
+        read_table(spark, orders_by_year_path(spark, sf_dir))
         .groupBy("year")
         .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
@@ -125,7 +125,7 @@ WHERE year IN (1996, 1997) AND attrs['status'] = 'F'"""
 )
 def table_partition_pruning(spark, sf_dir):
     return (
-        read_table(spark, orders_by_year(spark, sf_dir))
+        read_table(spark, orders_by_year_path(spark, sf_dir))
         .filter(col("year").isin(1996, 1997) & (col("attrs.status") == "F"))
         .select("o_orderkey", "year", col("attrs.status").alias("status"))
     )
@@ -153,7 +153,7 @@ def table_listing(spark, sf_dir):
 WHERE attrs['status'] = 'F' AND day > DATE '1997-05-29' AND list_contains(flags, 'A')"""
 )
 def table_sql_ddl(spark, sf_dir):
-    orders = orders_nested(spark, sf_dir).select("o_orderkey", "day", "attrs", "flags")
+    orders = nested_orders(spark, sf_dir).select("o_orderkey", "day", "attrs", "flags")
     name, path = f"orders_{uuid4().hex}", scratch_path(spark, "created")
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema.fields)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
@@ -171,7 +171,7 @@ def table_sql_ddl(spark, sf_dir):
 )
 def table_temp_view(spark, sf_dir):
     view = f"orders_{uuid4().hex}"
-    read_table(spark, orders_table(spark, sf_dir)).createOrReplaceTempView(view)
+    nested_orders(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(
         f"SELECT attrs.status AS status, count(*) AS n FROM {view} GROUP BY attrs.status"
     )
@@ -184,7 +184,7 @@ FROM orders_nested"""
 )
 def table_append(spark, sf_dir):
     path = scratch_path(spark, "appended")
-    orders = orders_nested(spark, sf_dir)
+    orders = without_promoted(nested_orders(spark, sf_dir))
     write_table(orders.filter(col("o_orderstatus") == "F"), path)
     write_table(orders.filter(col("o_orderstatus") != "F"), path, mode="append")
     return read_table(spark, path).select(
@@ -200,7 +200,7 @@ SELECT attrs['priority'] AS priority, count(*) AS n, round(sum(o_totalprice), 2)
 )
 def table_compact(spark, sf_dir):
     path = scratch_path(spark, "compacted")
-    compact(spark, orders_by_year(spark, sf_dir), path, 3, sort_by=["o_totalprice"])
+    compact(spark, orders_by_year_path(spark, sf_dir), path, 3, sort_by=["o_totalprice"])
     compacted = read_table(spark, path)
     files = compacted.select(F.input_file_name().alias("file")).agg(F.count_distinct("file"))
     return (
@@ -272,7 +272,7 @@ def table_several_paths(spark, sf_dir):
 FROM orders_nested WHERE attrs['status'] = 'F' AND attrs['tier.1'] IS NOT NULL"""
 )
 def promoted_filter(spark, sf_dir):
-    orders = read_table(spark, orders_table(spark, sf_dir))
+    orders = nested_orders(spark, sf_dir)
     status, tier = path_column(orders, "attrs.status"), path_column(orders, "attrs.`tier.1`")
     return orders.filter((status == "F") & tier.isNotNull()).select(
         "o_orderkey", status.alias("status"), tier.alias("tier")

@@ -27,11 +27,12 @@ def _attrs() -> Column:
 
 
 def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with a map, arrays, a map of arrays and a struct.
+    """One row per order with a map, arrays, a map of arrays and structs.
 
     ``lines`` holds the distinct (flag, status) pairs of the order's line items. Their number is
     bounded by the two code lists, and the pairs are combined before the shuffle, so an order
-    with very many line items costs a task no more than any other.
+    with very many line items costs a task no more than any other. ``cust`` is null where there is
+    no such customer.
     """
     pairs = (
         table(spark, sf_dir, "lineitem")
@@ -49,9 +50,14 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     def with_status(code: str) -> Column:
         return F.transform(F.filter("lines", lambda x: x.status == code), lambda x: x.flag)
 
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("cust"),
+    )
     return (
         table(spark, sf_dir, "orders")
         .join(pairs, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .join(customers, "o_custkey", "left")
         .select(
             "o_orderkey",
             "o_custkey",
@@ -74,6 +80,7 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("o_orderpriority").startswith("1").alias("urgent"),
                 flags.alias("flags"),
             ).alias("detail"),
+            "cust",
         )
     )
 
@@ -107,15 +114,6 @@ orders_nested AS (
 """
 
 
-def orders_with_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``orders_nested`` plus ``cust struct<name,segment>``, null where there is no such customer."""
-    customer = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"),
-        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("cust"),
-    )
-    return orders_nested(spark, sf_dir).join(customer, "o_custkey", "left")
-
-
 CUSTOMER_SQL = (
     ORDERS_SQL.rstrip()
     + """,
@@ -135,10 +133,9 @@ def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the words a-z of their whole text, and a map of their labels."""
+    """Documents as the words a-z of their whole text, with a map of their labels."""
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        "text",
         F.array_remove(F.split(F.lower("text"), "[^a-z]+"), "").alias("words"),
         F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("meta"),
         "n_chars",
@@ -147,7 +144,7 @@ def docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DOCS_SQL = """
 WITH docs_nested AS (
-  SELECT doc_id, text,
+  SELECT doc_id,
          list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS words,
          map {'lang': lang, 'source': source} AS meta, n_chars
   FROM documents)
