@@ -11,7 +11,9 @@ from facetframe.operators.facets import facet, group_paths
 from facetframe.operators.paging import has_next, page
 from facetframe.operators.profile import path_profile
 from facetframe.operators.search import (
+    existing_keys,
     exists,
+    facet_from_counts,
     facet_from_postings,
     lookup,
     lookup_all,
@@ -23,6 +25,7 @@ from facetframe.operators.search import (
     missing,
     postings,
     save_searchable,
+    term_counts,
     write_postings,
 )
 from facetframe.operators.text import token_filter
@@ -32,8 +35,10 @@ from facetframe.sources.tables import compact, read_table, write_table
 __all__ = [
     "compact",
     "contains_value",
+    "existing_keys",
     "exists",
     "facet",
+    "facet_from_counts",
     "facet_from_postings",
     "group_paths",
     "has_key",
@@ -56,6 +61,7 @@ __all__ = [
     "promote",
     "read_table",
     "save_searchable",
+    "term_counts",
     "token_filter",
     "upsert",
     "without_promoted",

@@ -3,11 +3,12 @@
 Layout. One row per (term, row key): ``field`` is the top-level column, ``path`` the full path
 (``m.key`` for a map entry), ``value`` the term as text, ``num``/``whole`` the same value typed for
 ranges (floating / integral, date as days, timestamp as microseconds). Two special fields hold
-``path`` rows only: ``_exists`` when the path is not null, ``_has_null`` when its array has a null.
+``path`` rows only: ``_exists`` when an array or map is not null (it may be empty, while an atomic
+path exists where it has a term), ``_has_null`` when an array has a null element.
 
 Written postings are partitioned by ``field`` (bounded by the columns of the table) and sorted by
-path, typed value, text and key, so a lookup prunes to one directory and a few row groups, and a
-frequent term lies in several files.
+path, typed value and text, so a lookup prunes to one directory and a few row groups, and a frequent
+term lies in several files.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from facetframe.operators.joins import BROADCAST_BYTES, filter_by_keys
 
 EXISTS = "_exists"
 HAS_NULL = "_has_null"
-ORDER = ["path", "num", "whole", "value", "key"]
+ORDER = ["field", "path", "num", "whole", "value"]
 INTEGRAL = (BooleanType, ByteType, ShortType, IntegerType, LongType)
 CODED = (*INTEGRAL, DateType, TimestampType, TimestampNTZType)
 Term = tuple[str, Any]
@@ -75,10 +76,9 @@ def _mark(kind: str) -> Column:
     return _term(F.lit(kind), F.lit(None).cast("string"), StringType())
 
 
-def _emit(found: DataFrame, *terms: Column) -> DataFrame:
-    """The postings of each row; terms that are null for a row are left out."""
-    listed = found.select(F.inline(F.array(*terms)), "key")
-    return listed.filter(F.col("field").isNotNull())
+def _emit(found: DataFrame, term: Column) -> DataFrame:
+    """One posting per row."""
+    return found.select(term.alias("term"), "key").select("term.*", "key")
 
 
 def _terms(found: DataFrame, field: str, dtype: DataType) -> list[DataFrame]:
@@ -103,7 +103,7 @@ def _terms(found: DataFrame, field: str, dtype: DataType) -> list[DataFrame]:
             _emit(elements, _term(kind, value, dtype.elementType)),
         ]
     _check_atomic(dtype)
-    return [_emit(present, _mark(EXISTS), _term(owner, value, dtype))]
+    return [_emit(present, _term(owner, value, dtype))]
 
 
 def _check_atomic(dtype: DataType) -> None:
@@ -125,7 +125,7 @@ def postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
 
     Every part is a scan of the key and one path that explodes straight into its postings, so
     ``df`` should be a stored table rather than an expensive query. Repeated array elements are
-    dropped inside the row: with a unique ``key`` the result is distinct without a shuffle.
+    dropped inside the row, so a row has each term once, without a shuffle.
     """
     parts = []
     for path in paths:
@@ -137,15 +137,14 @@ def postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
 
 
 def write_postings(terms: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Write postings range-partitioned by term and key, distinct, one directory per field.
+    """Write postings range-partitioned by term and key, one directory per field.
 
-    Range partitioning on the key as well splits a term that most rows have. The distinct needs no
-    second shuffle, because equal rows already share a range.
+    Range partitioning on the key as well splits a term that most rows have; sorting stops at the
+    term, because comparing the keys of a frequent term would dominate the write.
     """
     (
-        terms.repartitionByRange("field", *ORDER)
-        .distinct()
-        .sortWithinPartitions("field", *ORDER)
+        terms.repartitionByRange(*ORDER, "key")
+        .sortWithinPartitions(*ORDER)
         .write.mode(mode)
         .partitionBy("field")
         .parquet(path)
@@ -170,9 +169,7 @@ def save_searchable(
 
     save(df.repartition(buckets, F.col(P.quoted(key))), name, key, [key], [])
     terms = postings(df.sparkSession.table(name), key, paths)
-    save(
-        terms.repartition(buckets, "key").distinct(), f"{name}_postings", "key", ORDER, ["field"]
-    )
+    save(terms.repartition(buckets, "key"), f"{name}_postings", "key", ORDER[1:], ["field"])
 
 
 def _at(base: DataFrame, path: str) -> Column:
@@ -205,9 +202,10 @@ def _is_term(base: DataFrame, path: str, value: Any) -> Column:
     return _at(base, path) & (term == typed(value))
 
 
-def _rows(base: DataFrame, keys: DataFrame, key: str, limit: int) -> DataFrame:
-    found = keys.select(F.col("key").alias(key))
-    return filter_by_keys(base, found, [key], "left_semi", limit=limit)
+def _rows(
+    base: DataFrame, keys: DataFrame, key: str, limit: int, how: str = "left_semi"
+) -> DataFrame:
+    return filter_by_keys(base, keys.select(F.col("key").alias(key)), [key], how, limit=limit)
 
 
 def lookup_keys(base: DataFrame, postings: DataFrame, path: str, value: Any) -> DataFrame:
@@ -273,33 +271,31 @@ def lookup_not(
     *,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Base rows for which the term test is false: the path exists, lacks the term and, for an
-    array, has no null element (which would make SQL's answer unknown)."""
-    term = _is_term(base, path, value)
-    known = _marked(EXISTS, path)
-    unknown = _marked(HAS_NULL, path)
-    keys = (
-        postings.filter(term | known | unknown)
-        .groupBy("key")
-        .agg(F.max(known).alias("known"), F.max(F.coalesce(term | unknown, F.lit(False))).alias("out"))
-        .filter(F.col("known") & ~F.col("out"))
-    )
-    return _rows(base, keys, key, limit)
+    """Base rows for which the term test is false: the path is not null, lacks the term and, for
+    an array, has no null element (which would make SQL's answer unknown)."""
+    out = postings.filter(_is_term(base, path, value) | _marked(HAS_NULL, path))
+    known = base.filter(F.col(path).isNotNull())
+    return _rows(known, out, key, limit, "left_anti")
+
+
+def existing_keys(base: DataFrame, postings: DataFrame, path: str) -> DataFrame:
+    """``key`` of every row whose path is not null, without reading the base."""
+    nested = isinstance(P.path_type(base, path), (ArrayType, MapType))
+    return postings.filter(_marked(EXISTS, path) if nested else _at(base, path)).select("key")
 
 
 def exists(
     base: DataFrame, postings: DataFrame, key: str, path: str, *, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Base rows whose path is not null."""
-    return _rows(base, postings.filter(_marked(EXISTS, path)), key, limit)
+    return _rows(base, existing_keys(base, postings, path), key, limit)
 
 
 def missing(
     base: DataFrame, postings: DataFrame, key: str, path: str, *, limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Base rows whose path is null: a missing key, a null value or a null parent."""
-    found = postings.filter(_marked(EXISTS, path)).select(F.col("key").alias(key))
-    return filter_by_keys(base, found, [key], "left_anti", limit=limit)
+    return _rows(base, existing_keys(base, postings, path), key, limit, "left_anti")
 
 
 def lookup_prefix(
@@ -346,20 +342,40 @@ def _once(base: DataFrame, path: str, keys: DataFrame) -> DataFrame:
     return keys.distinct() if multi else keys
 
 
-def facet_from_postings(postings: DataFrame, path: str) -> DataFrame:
-    """``(value, n)``: rows per distinct value of the path, without touching the base table.
+def term_counts(postings: DataFrame) -> DataFrame:
+    """``(field, path, value, n)``: rows per term. Store it beside the postings to facet from it.
 
-    Equals the deduplicated facet without its null bucket.
+    It grows with the distinct terms instead of the rows. The counting is combined before the
+    shuffle, so a frequent term is one record per task.
     """
-    name = P.plain(path)
-    owner = (F.col("field") == name) | F.lit(name).startswith(F.concat("field", F.lit(".")))
     return (
-        postings.filter(owner & (F.col("path") == name))
-        .groupBy("value")
+        postings.filter(~F.col("field").isin(EXISTS, HAS_NULL))
+        .groupBy("field", "path", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def _terms_of(path: str) -> Column:
+    """Terms of the path, with a condition on ``field`` alone that prunes directories."""
+    name = P.plain(path)
+    owner = (F.col("field") == name) | F.lit(name).startswith(F.concat("field", F.lit(".")))
+    return owner & (F.col("path") == name)
+
+
+def facet_from_postings(postings: DataFrame, path: str) -> DataFrame:
+    """``(value, n)``: rows per distinct value of the path, without touching the base table.
+
+    Equals the deduplicated facet without its null bucket.
+    """
+    found = postings.filter(_terms_of(path))
+    return found.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def facet_from_counts(counts: DataFrame, path: str) -> DataFrame:
+    """The same facet read off stored ``term_counts``."""
+    return counts.filter(_terms_of(path)).select("value", "n")
+
+
 def _any(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

@@ -98,15 +98,17 @@ def sums(spark, sf_dir):
 
 @query(
     ORDERS_SQL
-    + """SELECT year, o_orderstatus, closed, count(*) AS n, round(sum(o_totalprice), 2) AS total
-FROM orders_nested GROUP BY year, o_orderstatus, closed"""
+    + """SELECT year, o_orderstatus, CAST(closed AS VARCHAR) AS closed, count(*) AS n,
+       round(sum(o_totalprice), 2) AS total FROM orders_nested
+GROUP BY year, o_orderstatus, closed"""
 )
 def group_columns(spark, sf_dir):
-    return group_paths(
+    grouped = group_paths(
         nested_orders(spark, sf_dir),
         ["year", "o_orderstatus", "closed"],
         {"n": F.count("*"), "total": F.round(F.sum("o_totalprice"), 2)},
     )
+    return grouped.withColumn("closed", col("closed").cast("string"))
 
 
 @query(

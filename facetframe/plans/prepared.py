@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from facetframe.functions.paths import without_promoted
-from facetframe.operators.search import postings, write_postings
+from facetframe.operators.search import postings, term_counts, write_postings
 from facetframe.sources.nested import docs_nested, orders_nested
 from facetframe.sources.scratch import scratch_path
 from facetframe.sources.tables import read_table, write_table
@@ -96,3 +96,11 @@ def order_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = nested_docs(spark, sf_dir)
     return _postings(spark, sf_dir, "doc_postings", docs, "doc_id", ["words", "meta", "n_chars"])
+
+
+def order_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def write(path: str) -> None:
+        counts = term_counts(order_postings(spark, sf_dir))
+        write_table(counts, path, partition_by=["field"], sort_by=["path", "value"])
+
+    return read_table(spark, written(spark, sf_dir, "order_term_counts", write))

@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetframe.operators import search as S
-from facetframe.plans.prepared import doc_postings, nested_docs, nested_orders, order_postings
+from facetframe.plans.prepared import (
+    doc_postings,
+    nested_docs,
+    nested_orders,
+    order_postings,
+    order_term_counts,
+)
 from facetframe.plans.registry import query
 from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL
 
@@ -45,13 +53,7 @@ FOUND = ORDERS_SQL + "SELECT o_orderkey, o_totalprice FROM orders_nested WHERE "
   FROM (SELECT unnest(map_keys(attrs)) AS k, attrs, o_orderkey FROM orders_nested)
   WHERE attrs[k] IS NOT NULL
   UNION ALL
-  SELECT '_exists', 'attrs.' || k, NULL, o_orderkey
-  FROM (SELECT unnest(map_keys(attrs)) AS k, attrs, o_orderkey FROM orders_nested)
-  WHERE attrs[k] IS NOT NULL
-  UNION ALL
-  SELECT 'year', 'year', CAST(year AS VARCHAR), o_orderkey FROM orders_nested
-  UNION ALL
-  SELECT '_exists', 'year', NULL, o_orderkey FROM orders_nested)
+  SELECT 'year', 'year', CAST(year AS VARCHAR), o_orderkey FROM orders_nested)
 SELECT * FROM terms"""
 )
 def postings_terms(spark, sf_dir):
@@ -132,6 +134,25 @@ def lookup_not_map_key(spark, sf_dir):
     )
 
 
+@query(
+    ORDERS_SQL
+    + """SELECT 'tier' AS path, count(attrs['tier.1']) AS n FROM orders_nested
+UNION ALL SELECT 'flags', count(flags) FROM orders_nested
+UNION ALL SELECT 'closed', count(closed) FROM orders_nested
+UNION ALL SELECT 'status O', count(*) FROM orders_nested WHERE attrs['status'] = 'O'"""
+)
+def count_by_postings(spark, sf_dir):
+    orders, terms = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    found = {
+        "tier": S.existing_keys(orders, terms, "attrs.`tier.1`"),
+        "flags": S.existing_keys(orders, terms, "flags"),
+        "closed": S.existing_keys(orders, terms, "closed"),
+        "status O": S.lookup_keys(orders, terms, "attrs.status", "O"),
+    }
+    counts = [k.agg(F.lit(p).alias("path"), F.count("*").alias("n")) for p, k in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query(FOUND + "attrs['tier.1'] IS NOT NULL")
 def lookup_exists(spark, sf_dir):
     return _found(
@@ -155,6 +176,15 @@ def facet_by_postings(spark, sf_dir):
     return S.facet_from_postings(order_postings(spark, sf_dir), "flags")
 
 
+@query(
+    ORDERS_SQL
+    + """SELECT flag AS value, count(*) AS n FROM
+(SELECT unnest(list_distinct(by_status['F'])) AS flag FROM orders_nested) GROUP BY flag"""
+)
+def facet_by_counts(spark, sf_dir):
+    return S.facet_from_counts(order_term_counts(spark, sf_dir), "by_status.F")
+
+
 @query(
     DOCS_SQL
     + """SELECT word AS value, count(*) AS n FROM
