@@ -2,19 +2,25 @@
 
 Every operator takes and returns DataFrames built from the DataFrame and SQL API, so Catalyst
 plans them and Spark runs them. Only the functions in ``sources.tables`` and the writers in
-``operators.search`` store data.
+``operators.postings`` store data.
 """
 
 from facetframe.functions.paths import path_column, path_type, promote, without_promoted
 from facetframe.functions.predicates import contains_value, has_key, has_token, key_equals
 from facetframe.operators.facets import facet, group_paths
 from facetframe.operators.paging import has_next, page
+from facetframe.operators.postings import (
+    facet_from_counts,
+    facet_from_postings,
+    postings,
+    save_searchable,
+    term_counts,
+    write_postings,
+)
 from facetframe.operators.profile import path_profile
 from facetframe.operators.search import (
     existing_keys,
     exists,
-    facet_from_counts,
-    facet_from_postings,
     lookup,
     lookup_all,
     lookup_any,
@@ -23,10 +29,6 @@ from facetframe.operators.search import (
     lookup_prefix,
     lookup_range,
     missing,
-    postings,
-    save_searchable,
-    term_counts,
-    write_postings,
 )
 from facetframe.operators.text import token_filter
 from facetframe.operators.upsert import upsert

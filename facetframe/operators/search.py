@@ -1,14 +1,11 @@
-"""Postings: a term table beside a nested table, for exact, prefix, range and existence lookups.
+"""Lookups of rows through postings: exact, combined, negated, prefix, range and existence.
 
-Layout. One row per (term, row key): ``field`` is the top-level column, ``path`` the full path
-(``m.key`` for a map entry), ``value`` the term as text, ``num``/``whole`` the same value typed for
-ranges (floating / integral, date as days, timestamp as microseconds). Two special fields hold
-``path`` rows only: ``_exists`` when an array or map is not null (it may be empty, while an atomic
-path exists where it has a term), ``_has_null`` when an array has a null element.
+Every lookup equals a filter on the base table and picks the cheapest exact way to it. The keys
+found in the postings are measured first (one pruned scan):
 
-Written postings are partitioned by ``field`` (bounded by the columns of the table) and sorted by
-path, typed value and text, so a lookup prunes to one directory and a few row groups, and a frequent
-term lies in several files.
+- a few become an ``IN`` list, which Parquet can use to skip row groups of the base;
+- more, but below a byte limit, are broadcast to a semi or anti join;
+- beyond the limit the base is filtered on the path itself, which needs no shuffle either.
 """
 
 from __future__ import annotations
@@ -19,167 +16,28 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    BooleanType,
-    ByteType,
-    DataType,
-    DateType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    MapType,
-    ShortType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType
 
 from facetframe.functions import paths as P
-from facetframe.operators.joins import BROADCAST_BYTES, filter_by_keys
+from facetframe.operators.joins import BROADCAST_BYTES, fits_broadcast
+from facetframe.operators.postings import CODED, EXISTS, HAS_NULL, field_of, whole_form
 
-EXISTS = "_exists"
-HAS_NULL = "_has_null"
-ORDER = ["field", "path", "num", "whole", "value"]
-INTEGRAL = (BooleanType, ByteType, ShortType, IntegerType, LongType)
-CODED = (*INTEGRAL, DateType, TimestampType, TimestampNTZType)
+FEW = 1000
 Term = tuple[str, Any]
 
 
-def _num(value: Column, dtype: DataType) -> Column:
-    return value if isinstance(dtype, (FloatType, DoubleType)) else F.lit(None)
-
-
-def _whole(value: Column, dtype: DataType) -> Column:
-    if isinstance(dtype, INTEGRAL):
-        return value.cast("bigint")
-    if isinstance(dtype, DateType):
-        return F.unix_date(value)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp"))
-    return F.lit(None)
-
-
-def _term(field: Column, value: Column, dtype: DataType) -> Column:
-    """A posting of a value found at the column ``path``."""
-    return F.struct(
-        field.alias("field"),
-        F.col("path"),
-        value.cast("string").alias("value"),
-        _num(value, dtype).cast("double").alias("num"),
-        _whole(value, dtype).cast("bigint").alias("whole"),
-    )
-
-
-def _mark(kind: str) -> Column:
-    return _term(F.lit(kind), F.lit(None).cast("string"), StringType())
-
-
-def _emit(found: DataFrame, term: Column) -> DataFrame:
-    """One posting per row."""
-    return found.select(term.alias("term"), "key").select("term.*", "key")
-
-
-def _terms(found: DataFrame, field: str, dtype: DataType) -> list[DataFrame]:
-    """Postings of ``(key, path, value)`` rows, each part reading nothing but that value."""
-    value, owner = F.col("value"), F.lit(field)
-    present = found.filter(value.isNotNull())
-    if isinstance(dtype, MapType):
-        entries = found.select("key", "path", F.explode("value").alias("entry_key", "value"))
-        entry_key = _term(owner, F.col("entry_key"), dtype.keyType)
-        deeper = entries.withColumn("path", F.concat_ws(".", "path", F.col("entry_key").cast("string")))
-        return [
-            _emit(present, _mark(EXISTS)),
-            _emit(entries, entry_key),
-            *_terms(deeper.drop("entry_key"), field, dtype.valueType),
-        ]
-    if isinstance(dtype, ArrayType):
-        _check_atomic(dtype.elementType)
-        elements = found.select("key", "path", F.explode(F.array_distinct("value")).alias("value"))
-        kind = F.when(value.isNull(), F.lit(HAS_NULL)).otherwise(owner)
-        return [
-            _emit(present, _mark(EXISTS)),
-            _emit(elements, _term(kind, value, dtype.elementType)),
-        ]
-    _check_atomic(dtype)
-    return [_emit(present, _term(owner, value, dtype))]
-
-
-def _check_atomic(dtype: DataType) -> None:
-    if hasattr(dtype, "fields") or isinstance(dtype, (ArrayType, MapType)):
-        raise TypeError(f"postings need atomic values, got {dtype.simpleString()}; name its leaves")
-
-
-def _field_of(df: DataFrame, path: str) -> str:
-    """The top-level column a path starts with."""
-    name = P.plain(path)
-    owners = [c for c in df.columns if name == c or name.startswith(c + ".")]
-    if not owners:
-        raise ValueError(f"path {path} starts with none of the columns {df.columns}")
-    return max(owners, key=len)
-
-
-def postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
-    """``(field, path, value, num, whole, key)`` for every term of the given paths.
-
-    Every part is a scan of the key and one path that explodes straight into its postings, so
-    ``df`` should be a stored table rather than an expensive query. Repeated array elements are
-    dropped inside the row, so a row has each term once, without a shuffle.
-    """
-    parts = []
-    for path in paths:
-        found = df.select(
-            F.col(key).alias("key"), F.lit(P.plain(path)).alias("path"), F.col(path).alias("value")
-        )
-        parts += _terms(found, _field_of(df, path), P.path_type(df, path))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def write_postings(terms: DataFrame, path: str, *, mode: str = "overwrite") -> None:
-    """Write postings range-partitioned by term and key, one directory per field.
-
-    Range partitioning on the key as well splits a term that most rows have; sorting stops at the
-    term, because comparing the keys of a frequent term would dominate the write.
-    """
-    (
-        terms.repartitionByRange(*ORDER, "key")
-        .sortWithinPartitions(*ORDER)
-        .write.mode(mode)
-        .partitionBy("field")
-        .parquet(path)
-    )
-
-
-def save_searchable(
-    df: DataFrame, name: str, location: str, key: str, paths: Sequence[str], buckets: int
-) -> None:
-    """Save a table and its postings as catalog tables ``name`` and ``name_postings``.
-
-    Both are bucketed by the row key into the same number of buckets, so lookups of any
-    selectivity join them without shuffling either side. ``key`` must identify rows.
-    """
-    root = location.rstrip("/")
-
-    def save(table: DataFrame, table_name: str, on: str, sort: list[str], fields: list[str]) -> None:
-        writer = table.write.mode("overwrite").bucketBy(buckets, on).sortBy(*sort)
-        if fields:
-            writer = writer.partitionBy(*fields)
-        writer.option("path", f"{root}/{table_name}").saveAsTable(table_name)
-
-    save(df.repartition(buckets, F.col(P.quoted(key))), name, key, [key], [])
-    terms = postings(df.sparkSession.table(name), key, paths)
-    save(terms.repartition(buckets, "key"), f"{name}_postings", "key", ORDER[1:], ["field"])
-
-
 def _at(base: DataFrame, path: str) -> Column:
-    return (F.col("field") == _field_of(base, path)) & (F.col("path") == P.plain(path))
+    return (F.col("field") == field_of(base, path)) & (F.col("path") == P.plain(path))
 
 
 def _marked(kind: str, path: str) -> Column:
     return (F.col("field") == kind) & (F.col("path") == P.plain(path))
 
 
+def _is_nested(base: DataFrame, path: str) -> bool:
+    return isinstance(P.path_type(base, path), (ArrayType, MapType))
+
+
 def _atomic_type(base: DataFrame, path: str) -> DataType:
     """The type of the terms at a path: elements of an array, keys of a map, else the value."""
     dtype = P.path_type(base, path)
@@ -193,19 +51,53 @@ def _typed(dtype: DataType) -> tuple[Column, Callable[[Any], Column]]:
     if isinstance(dtype, (FloatType, DoubleType)):
         return F.col("num"), lambda v: F.lit(v).cast(dtype).cast("double")
     if isinstance(dtype, CODED):
-        return F.col("whole"), lambda v: _whole(F.lit(v).cast(dtype), dtype)
+        return F.col("whole"), lambda v: whole_form(F.lit(v).cast(dtype), dtype)
     return F.col("value"), lambda v: F.lit(v).cast(dtype).cast("string")
 
 
 def _is_term(base: DataFrame, path: str, value: Any) -> Column:
+    """The condition on the postings."""
     term, typed = _typed(_atomic_type(base, path))
     return _at(base, path) & (term == typed(value))
 
 
-def _rows(
-    base: DataFrame, keys: DataFrame, key: str, limit: int, how: str = "left_semi"
+def _has_term(base: DataFrame, path: str, value: Any) -> Column:
+    """The same condition on the base."""
+    dtype, at = P.path_type(base, path), P.path_column(base, path)
+    literal = F.lit(value).cast(_atomic_type(base, path))
+    if isinstance(dtype, ArrayType):
+        return F.array_contains(at, literal)
+    return F.map_contains_key(at, literal) if isinstance(dtype, MapType) else at == literal
+
+
+def _some_term(base: DataFrame, path: str, test: Callable[[Column], Column]) -> Column:
+    """Whether some term at the path passes the test."""
+    dtype, at = P.path_type(base, path), P.path_column(base, path)
+    if isinstance(dtype, ArrayType):
+        return F.exists(at, test)
+    return F.exists(F.map_keys(at), test) if isinstance(dtype, MapType) else test(at)
+
+
+def _select(
+    base: DataFrame,
+    keys: DataFrame,
+    key: str,
+    condition: Column,
+    limit: int,
+    join: bool,
+    without: bool = False,
 ) -> DataFrame:
-    return filter_by_keys(base, keys.select(F.col("key").alias(key)), [key], how, limit=limit)
+    """Base rows whose key is (``without``: is not) among the keys; ``condition`` says the same."""
+    keys = keys.select(F.col("key").alias(key))
+    how = "left_anti" if without else "left_semi"
+    if limit > 0:
+        few = [r[0] for r in keys.limit(FEW + 1).collect()]
+        if len(few) <= FEW:
+            among = F.col(key).isin(few)
+            return base.filter(~F.coalesce(among, F.lit(False)) if without else among)
+        if fits_broadcast(keys, limit):
+            return base.join(F.broadcast(keys), key, how)
+    return base.join(keys, key, how) if join else base.filter(condition)
 
 
 def lookup_keys(base: DataFrame, postings: DataFrame, path: str, value: Any) -> DataFrame:
@@ -221,13 +113,16 @@ def lookup(
     value: Any,
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows with the exact term: the value at the path, an array element, or a map key.
 
-    The matching keys are measured first (one pruned scan of the postings) and broadcast when
-    small, so the base is not shuffled for a selective term; ``limit=0`` skips the measuring.
+    ``limit`` bounds the keys that are sent to the base, 0 skips looking at them. ``join`` joins
+    larger key sets instead of filtering on the path: for tables from ``save_searchable``, where
+    the join needs no shuffle and spares reading a wide path.
     """
-    return _rows(base, lookup_keys(base, postings, path, value), key, limit)
+    keys = lookup_keys(base, postings, path, value)
+    return _select(base, keys, key, _has_term(base, path, value), limit, join)
 
 
 def lookup_all(
@@ -237,6 +132,7 @@ def lookup_all(
     terms: Sequence[Term],
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows with every one of the terms, from one grouping of the postings by key."""
     hits = [_is_term(base, p, v) for p, v in terms]
@@ -246,7 +142,8 @@ def lookup_all(
         .agg(*[F.max(h).alias(f"hit_{i}") for i, h in enumerate(hits)])
         .filter(_every([F.col(f"hit_{i}") for i in range(len(hits))]))
     )
-    return _rows(base, keys, key, limit)
+    condition = _every([_has_term(base, p, v) for p, v in terms])
+    return _select(base, keys, key, condition, limit, join)
 
 
 def lookup_any(
@@ -256,10 +153,12 @@ def lookup_any(
     terms: Sequence[Term],
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows with at least one of the terms."""
     keys = postings.filter(_any([_is_term(base, p, v) for p, v in terms])).select("key").distinct()
-    return _rows(base, keys, key, limit)
+    condition = _any([_has_term(base, p, v) for p, v in terms])
+    return _select(base, keys, key, condition, limit, join)
 
 
 def lookup_not(
@@ -270,32 +169,49 @@ def lookup_not(
     value: Any,
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows for which the term test is false: the path is not null, lacks the term and, for
     an array, has no null element (which would make SQL's answer unknown)."""
     out = postings.filter(_is_term(base, path, value) | _marked(HAS_NULL, path))
-    known = base.filter(F.col(path).isNotNull())
-    return _rows(known, out, key, limit, "left_anti")
+    known = base.filter(P.path_column(base, path).isNotNull())
+    condition = ~_has_term(base, path, value)
+    return _select(known, out, key, condition, limit, join, without=True)
 
 
 def existing_keys(base: DataFrame, postings: DataFrame, path: str) -> DataFrame:
     """``key`` of every row whose path is not null, without reading the base."""
-    nested = isinstance(P.path_type(base, path), (ArrayType, MapType))
-    return postings.filter(_marked(EXISTS, path) if nested else _at(base, path)).select("key")
+    found = _marked(EXISTS, path) if _is_nested(base, path) else _at(base, path)
+    return postings.filter(found).select("key")
 
 
 def exists(
-    base: DataFrame, postings: DataFrame, key: str, path: str, *, limit: int = BROADCAST_BYTES
+    base: DataFrame,
+    postings: DataFrame,
+    key: str,
+    path: str,
+    *,
+    limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows whose path is not null."""
-    return _rows(base, existing_keys(base, postings, path), key, limit)
+    keys = existing_keys(base, postings, path)
+    return _select(base, keys, key, P.path_column(base, path).isNotNull(), limit, join)
 
 
 def missing(
-    base: DataFrame, postings: DataFrame, key: str, path: str, *, limit: int = BROADCAST_BYTES
+    base: DataFrame,
+    postings: DataFrame,
+    key: str,
+    path: str,
+    *,
+    limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows whose path is null: a missing key, a null value or a null parent."""
-    return _rows(base, existing_keys(base, postings, path), key, limit, "left_anti")
+    keys = existing_keys(base, postings, path)
+    condition = P.path_column(base, path).isNull()
+    return _select(base, keys, key, condition, limit, join, without=True)
 
 
 def lookup_prefix(
@@ -306,10 +222,12 @@ def lookup_prefix(
     prefix: str,
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
-    """Base rows with some term at the path that starts with the prefix."""
+    """Base rows with some term at the path whose text starts with the prefix."""
     keys = postings.filter(_at(base, path) & F.col("value").startswith(prefix))
-    return _rows(base, _once(base, path, keys), key, limit)
+    condition = _some_term(base, path, lambda v: v.cast("string").startswith(prefix))
+    return _select(base, _once(base, path, keys), key, condition, limit, join)
 
 
 def lookup_range(
@@ -321,59 +239,28 @@ def lookup_range(
     high: Any = None,
     *,
     limit: int = BROADCAST_BYTES,
+    join: bool = False,
 ) -> DataFrame:
     """Base rows with some term at the path between the inclusive bounds; None leaves a side open.
 
     Strings compare by their bytes, other types by their typed column.
     """
-    term, typed = _typed(_atomic_type(base, path))
-    bounds = [_at(base, path)]
-    if low is not None:
-        bounds.append(term >= typed(low))
-    if high is not None:
-        bounds.append(term <= typed(high))
-    return _rows(base, _once(base, path, postings.filter(_every(bounds))), key, limit)
+    dtype = _atomic_type(base, path)
+    term, typed = _typed(dtype)
+
+    def between(value: Column, bound: Callable[[Any], Column]) -> Column:
+        sides = [] if low is None else [value >= bound(low)]
+        return _every([value.isNotNull(), *sides, *([] if high is None else [value <= bound(high)])])
+
+    keys = _once(base, path, postings.filter(_at(base, path) & between(term, typed)))
+    condition = _some_term(base, path, lambda v: between(v, lambda b: F.lit(b).cast(dtype)))
+    return _select(base, keys, key, condition, limit, join)
 
 
 def _once(base: DataFrame, path: str, keys: DataFrame) -> DataFrame:
     """Each key once; only multi-valued paths can repeat one."""
     keys = keys.select("key")
-    multi = isinstance(P.path_type(base, path), (ArrayType, MapType))
-    return keys.distinct() if multi else keys
-
-
-def term_counts(postings: DataFrame) -> DataFrame:
-    """``(field, path, value, n)``: rows per term. Store it beside the postings to facet from it.
-
-    It grows with the distinct terms instead of the rows. The counting is combined before the
-    shuffle, so a frequent term is one record per task.
-    """
-    return (
-        postings.filter(~F.col("field").isin(EXISTS, HAS_NULL))
-        .groupBy("field", "path", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-
-
-def _terms_of(path: str) -> Column:
-    """Terms of the path, with a condition on ``field`` alone that prunes directories."""
-    name = P.plain(path)
-    owner = (F.col("field") == name) | F.lit(name).startswith(F.concat("field", F.lit(".")))
-    return owner & (F.col("path") == name)
-
-
-def facet_from_postings(postings: DataFrame, path: str) -> DataFrame:
-    """``(value, n)``: rows per distinct value of the path, without touching the base table.
-
-    Equals the deduplicated facet without its null bucket.
-    """
-    found = postings.filter(_terms_of(path))
-    return found.groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-
-
-def facet_from_counts(counts: DataFrame, path: str) -> DataFrame:
-    """The same facet read off stored ``term_counts``."""
-    return counts.filter(_terms_of(path)).select("value", "n")
+    return keys.distinct() if _is_nested(base, path) else keys
 
 
 def _any(conditions: Sequence[Column]) -> Column:

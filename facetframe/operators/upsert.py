@@ -19,5 +19,5 @@ def upsert(
     """
     on = [on] if isinstance(on, str) else list(on)
     keys = updates.select(*on).na.drop("any").distinct()
-    kept = filter_by_keys(base, keys, on, "left_anti", hot_keys=True, limit=limit)
+    kept = filter_by_keys(base, keys, on, "left_anti", limit)
     return kept.unionByName(updates)

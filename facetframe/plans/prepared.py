@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from facetframe.functions.paths import without_promoted
-from facetframe.operators.search import postings, term_counts, write_postings
+from facetframe.operators.postings import postings, term_counts, write_postings
 from facetframe.sources.nested import docs_nested, orders_nested
 from facetframe.sources.scratch import scratch_path
 from facetframe.sources.tables import read_table, write_table
@@ -50,7 +50,7 @@ def orders_path(spark: SparkSession, sf_dir: str) -> str:
             path,
             sort_by=["attrs.status", "o_orderkey"],
             promote=["attrs.status", "attrs.`tier.1`"],
-            bloom=["o_custkey"],
+            bloom=["o_orderkey", "o_custkey"],
         )
 
     return written(spark, sf_dir, "orders", write)

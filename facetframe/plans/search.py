@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from facetframe.operators import postings as T
 from facetframe.operators import search as S
 from facetframe.plans.prepared import (
     doc_postings,
@@ -57,7 +58,7 @@ FOUND = ORDERS_SQL + "SELECT o_orderkey, o_totalprice FROM orders_nested WHERE "
 SELECT * FROM terms"""
 )
 def postings_terms(spark, sf_dir):
-    terms = S.postings(nested_orders(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
+    terms = T.postings(nested_orders(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
     return terms.select("field", "path", "value", "key")
 
 
@@ -82,6 +83,19 @@ def lookup_has_key(spark, sf_dir):
     )
 
 
+@query(FOUND + "day = DATE '1996-02-29' AND list_contains(flags, 'A')")
+def lookup_few_rows(spark, sf_dir):
+    terms = [("day", date(1996, 2, 29)), ("flags", "A")]
+    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    return _found(S.lookup_all(orders, found, KEY, terms))
+
+
+@query(FOUND + "list_contains(by_status['O'], 'N')")
+def lookup_beyond_limit(spark, sf_dir):
+    orders, terms = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    return _found(S.lookup(orders, terms, KEY, "by_status.O", "N", limit=1024))
+
+
 @query(DOCS_SQL + "SELECT doc_id, n_chars FROM docs_nested WHERE list_contains(words, 'the')")
 def lookup_word(spark, sf_dir):
     found = S.lookup(
@@ -173,7 +187,7 @@ def lookup_missing(spark, sf_dir):
 (SELECT unnest(list_distinct(flags)) AS flag FROM orders_nested) GROUP BY flag"""
 )
 def facet_by_postings(spark, sf_dir):
-    return S.facet_from_postings(order_postings(spark, sf_dir), "flags")
+    return T.facet_from_postings(order_postings(spark, sf_dir), "flags")
 
 
 @query(
@@ -182,7 +196,7 @@ def facet_by_postings(spark, sf_dir):
 (SELECT unnest(list_distinct(by_status['F'])) AS flag FROM orders_nested) GROUP BY flag"""
 )
 def facet_by_counts(spark, sf_dir):
-    return S.facet_from_counts(order_term_counts(spark, sf_dir), "by_status.F")
+    return T.facet_from_counts(order_term_counts(spark, sf_dir), "by_status.F")
 
 
 @query(
@@ -191,7 +205,7 @@ def facet_by_counts(spark, sf_dir):
 (SELECT unnest(list_distinct(words)) AS word FROM docs_nested) GROUP BY word"""
 )
 def facet_words_by_postings(spark, sf_dir):
-    return S.facet_from_postings(doc_postings(spark, sf_dir), "words")
+    return T.facet_from_postings(doc_postings(spark, sf_dir), "words")
 
 
 @query(
@@ -200,7 +214,7 @@ def facet_words_by_postings(spark, sf_dir):
 WHERE attrs['priority'] IS NOT NULL GROUP BY 1"""
 )
 def facet_map_key_by_postings(spark, sf_dir):
-    return S.facet_from_postings(order_postings(spark, sf_dir), "attrs.priority")
+    return T.facet_from_postings(order_postings(spark, sf_dir), "attrs.priority")
 
 
 @query(

@@ -5,7 +5,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 import facetframe as ff
-from facetframe.operators.search import ORDER
+from facetframe.operators import search
+from facetframe.operators.postings import ORDER
 from samples import buckets, ids, plan
 
 PATHS = [
@@ -28,7 +29,19 @@ def edge_terms(edges):
     return ff.postings(edges, "id", ["a", "m", "x"])
 
 
-@pytest.mark.parametrize("limit", [1 << 26, 0])
+@pytest.fixture(params=["list", "broadcast", "filter", "join"])
+def way(request, monkeypatch):
+    """The options that make a lookup take each of its ways."""
+    if request.param == "broadcast":
+        monkeypatch.setattr(search, "FEW", 0)
+    return {
+        "list": {},
+        "broadcast": {},
+        "filter": {"limit": 0},
+        "join": {"limit": 0, "join": True},
+    }[request.param]
+
+
 @pytest.mark.parametrize(
     "path, value, condition",
     [
@@ -52,21 +65,23 @@ def edge_terms(edges):
         ("title", "absent", "title = 'absent'"),
     ],
 )
-def test_lookup_equals_the_predicate(stored, path, value, condition, limit):
+def test_lookup_equals_the_predicate(stored, path, value, condition, way):
     base, terms = stored
-    found = ff.lookup(base, terms, "id", path, value, limit=limit)
+    found = ff.lookup(base, terms, "id", path, value, **way)
     assert found.columns == base.columns
     assert ids(found) == ids(base.filter(condition))
     assert ids(ff.lookup_keys(base, terms, path, value), "key") == ids(base.filter(condition))
-    negative = ff.lookup_not(base, terms, "id", path, value, limit=limit)
+    negative = ff.lookup_not(base, terms, "id", path, value, **way)
     assert ids(negative) == ids(base.filter(f"NOT ({condition})"))
 
 
-def test_existence(stored):
+def test_existence(stored, way):
     base, terms = stored
-    for path in [*PATHS, "tags.kind", "tags.`v.1`", "crew.bus"]:
-        assert ids(ff.exists(base, terms, "id", path)) == ids(base.filter(F.col(path).isNotNull()))
-        assert ids(ff.missing(base, terms, "id", path)) == ids(base.filter(F.col(path).isNull()))
+    for path in ["closed", "cost", "legs", "tags", "tags.kind", "tags.`v.1`", "crew.bus", "lead.langs"]:
+        here, gone = base.filter(F.col(path).isNotNull()), base.filter(F.col(path).isNull())
+        assert ids(ff.exists(base, terms, "id", path, **way)) == ids(here)
+        assert ids(ff.missing(base, terms, "id", path, **way)) == ids(gone)
+        assert ids(ff.existing_keys(base, terms, path), "key") == ids(here)
 
 
 def test_null_elements_and_null_values(edges, edge_terms):
@@ -83,28 +98,42 @@ def test_terms_of_one_row_are_distinct(edge_terms):
     assert edge_terms.count() == edge_terms.distinct().count()
 
 
-def test_all_and_any(stored):
+def test_all_and_any(stored, way):
     base, terms = stored
+
+    def every(wanted):
+        return ids(ff.lookup_all(base, terms, "id", wanted, **way))
+
+    def either(wanted):
+        return ids(ff.lookup_any(base, terms, "id", wanted, **way))
+
     wanted = [("legs", "c"), ("crew.bus", "bob"), ("lead.age", 40)]
-    assert ids(ff.lookup_all(base, terms, "id", wanted)) == ["T3"]
-    assert ids(ff.lookup_all(base, terms, "id", wanted[:2] + wanted[:1])) == ["T1", "T2", "T3"]
-    assert ids(ff.lookup_any(base, terms, "id", [("legs", "d"), ("lead.age", 40)])) == ["T3", "T5"]
-    assert ids(ff.lookup_any(base, terms, "id", [("legs", "a"), ("legs", "b")], limit=0)) == ids(base)
+    assert every(wanted) == ["T3"]
+    assert every(wanted[:2] + wanted[:1]) == ["T1", "T2", "T3"]
+    assert either([("legs", "d"), ("lead.age", 40)]) == ["T3", "T5"]
+    assert either([("legs", "a"), ("legs", "b")]) == ids(base)
 
 
-def test_prefix_and_ranges(stored):
+def test_prefix_and_ranges(stored, way):
     base, terms = stored
-    assert ids(ff.lookup_prefix(base, terms, "id", "tags.kind", "la")) == ["T5"]
-    assert ids(ff.lookup_prefix(base, terms, "id", "tags", "v.")) == ["T3", "T4", "T5"]
-    assert ids(ff.lookup_range(base, terms, "id", "lead.age", 31, 40)) == ["T1", "T3", "T4"]
-    assert ids(ff.lookup_range(base, terms, "id", "budget", 10)) == ["T5"]
-    assert ids(ff.lookup_range(base, terms, "id", "weight", high=2.25)) == ["T2", "T4", "T5"]
-    assert ids(ff.lookup_range(base, terms, "id", "day", date(2024, 3, 2), date(2024, 3, 3))) == [
-        "T3", "T4",
-    ]
-    assert ids(ff.lookup_range(base, terms, "id", "start", datetime(2024, 3, 3, 7, 15))) == ["T4", "T5"]
-    assert ids(ff.lookup_range(base, terms, "id", "legs", "c", "d")) == ids(base)
-    assert ids(ff.lookup_range(base, terms, "id", "title", "a", "q")) == ["T4"]
+
+    def prefixed(path, prefix):
+        return ids(ff.lookup_prefix(base, terms, "id", path, prefix, **way))
+
+    def between(path, low=None, high=None):
+        return ids(ff.lookup_range(base, terms, "id", path, low, high, **way))
+
+    assert prefixed("tags.kind", "la") == ["T5"]
+    assert prefixed("tags", "v.") == ["T3", "T4", "T5"]
+    assert prefixed("crew.bus", "b") == ["T1", "T2", "T3"]
+    assert between("lead.age", 31, 40) == ["T1", "T3", "T4"]
+    assert between("budget", 10) == ["T5"]
+    assert between("weight", high=2.25) == ["T2", "T4", "T5"]
+    assert between("day", date(2024, 3, 2), date(2024, 3, 3)) == ["T3", "T4"]
+    assert between("start", datetime(2024, 3, 3, 7, 15)) == ["T4", "T5"]
+    assert between("legs", "c", "d") == ids(base)
+    assert between("title", "a", "q") == ["T4"]
+    assert between("cost") == ["T2", "T5"]
 
 
 def test_floating_terms_compare_as_numbers(spark):
@@ -177,18 +206,30 @@ def test_bucketed_tables_join_without_a_shuffle(spark, trips, tmp_path):
     try:
         ff.save_searchable(trips, "trips_saved", str(tmp_path), "id", ["legs", "tags"], 4)
         base, terms = spark.table("trips_saved"), spark.table("trips_saved_postings")
-        found = ff.lookup(base, terms, "id", "legs", "d", limit=0)
+        found = ff.lookup(base, terms, "id", "legs", "d", limit=0, join=True)
         assert ids(found) == ["T5"]
         assert "Exchange" not in plan(found)
-        either = ff.lookup_all(base, terms, "id", [("legs", "c"), ("tags.kind", "sea")], limit=0)
-        assert ids(either) == ["T3"]
-        assert "Exchange" not in plan(either)
+        wanted = [("legs", "c"), ("tags.kind", "sea")]
+        both = ff.lookup_all(base, terms, "id", wanted, limit=0, join=True)
+        assert ids(both) == ["T3"]
+        assert "Exchange" not in plan(both)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS trips_saved")
         spark.sql("DROP TABLE IF EXISTS trips_saved_postings")
 
 
+def test_no_way_of_looking_up_shuffles_the_base(stored, monkeypatch):
+    base, terms = stored
+    few = plan(ff.lookup(base, terms, "id", "legs", "d"))
+    assert "In(id, [T5])" in few or "EqualTo(id,T5)" in few
+    assert "Join" not in few and "Exchange" not in few
+    assert "Exchange" not in plan(ff.lookup(base, terms, "id", "legs", "d", limit=0))
+    monkeypatch.setattr(search, "FEW", 0)
+    sent = plan(ff.lookup(base, terms, "id", "legs", "d"))
+    assert "BroadcastHashJoin" in sent and "hashpartitioning" not in sent
+
+
 def test_structs_need_their_leaves_named(trips):
     with pytest.raises(TypeError):
         ff.postings(trips, "id", ["lead"])

@@ -62,6 +62,20 @@ def test_partitions_are_discovered_and_pruned(spark, trips, path):
     assert {tuple(r) for r in counts.collect()} >= {(20240301, 2, 20240301)}
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, path):
+    df = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 5).alias("p"),
+        F.sha2(F.col("id").cast("string"), 256).alias("text"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        write_table(df, path, partition_by=["p"], sort_by=["text"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(glob.glob(path + "/p=0/*.parquet")) > 2
+    assert spark.read.parquet(path).count() == 60_000
+
+
 def test_append_and_user_schema(spark, trips, path):
     write_table(trips.filter("closed"), path)
     write_table(trips.filter("NOT closed"), path, mode="append")
@@ -127,7 +141,7 @@ def test_upsert_on_several_columns_and_same_source(spark):
 def test_hot_key_is_salted_over_tasks(spark):
     base = spark.range(0, 20_000, 1, 8).select(F.lit(1).alias("k"), "id")
     keys = spark.createDataFrame([(1,), (2,)], "k int")
-    joined = joins.filter_by_keys(base, keys, ["k"], "left_semi", hot_keys=True, limit=0)
+    joined = joins.filter_by_keys(base, keys, ["k"], "left_semi", limit=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "16")
@@ -135,7 +149,7 @@ def test_hot_key_is_salted_over_tasks(spark):
         tasks = joined.groupBy(F.spark_partition_id()).count().collect()
         assert sum(r[1] for r in tasks) == 20_000
         assert len(tasks) >= 4
-        assert joins.filter_by_keys(base, keys, ["k"], "left_anti", hot_keys=True, limit=0).count() == 0
+        assert joins.filter_by_keys(base, keys, ["k"], "left_anti", limit=0).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
