@@ -32,4 +32,5 @@ def has_token(text: str | Column, token: str) -> Column:
     """The lower-cased text has the token, tokens being maximal runs of ``a-z``."""
     if not re.fullmatch("[a-z]+", token):
         raise ValueError(f"a token is one or more letters a-z, got {token!r}")
-    return F.lower(_column(text)).rlike(f"(?<![a-z]){token}(?![a-z])")
+    # The literal comes first so that the regex engine looks for it before the boundaries.
+    return F.lower(_column(text)).rlike(f"{token}(?<![a-z]{token})(?![a-z])")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
@@ -14,7 +14,13 @@ SALT = "__salt"
 
 
 def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure the keys with one aggregate and compare their size with the limit."""
+    """Measure the keys with one aggregate and compare their size with the limit.
+
+    Nested keys have no size that is cheap to measure and never fit.
+    """
+    nested = (ArrayType, MapType, StructType, VariantType)
+    if any(isinstance(f.dataType, nested) for f in keys.schema.fields):
+        return False
     sized = [
         F.coalesce(F.sum(F.octet_length(F.col(f"`{f.name}`"))), F.lit(0))
         for f in keys.schema.fields

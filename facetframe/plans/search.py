@@ -117,17 +117,15 @@ def lookup_all_terms(spark, sf_dir):
         ("closed", True),
         ("year", 1997),
     ]
-    return _found(
-        S.lookup_all(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
-    )
+    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    return _found(S.lookup_all(orders, found, KEY, terms))
 
 
 @query(FOUND + "attrs['priority'] = '1-URGENT' OR list_contains(by_status['F'], 'N') OR year = 1995")
 def lookup_any_term(spark, sf_dir):
     terms = [("attrs.priority", "1-URGENT"), ("by_status.F", "N"), ("year", 1995)]
-    return _found(
-        S.lookup_any(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, terms)
-    )
+    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    return _found(S.lookup_any(orders, found, KEY, terms))
 
 
 @query(

@@ -40,7 +40,10 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.sort_array(
                 F.collect_set(
-                    F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"))
+                    F.struct(
+                        F.col("l_returnflag").alias("flag"),
+                        F.col("l_linestatus").alias("status"),
+                    )
                 )
             ).alias("lines")
         )
@@ -52,7 +55,9 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
-        F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")).alias("cust"),
+        F.struct(
+            F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment")
+        ).alias("cust"),
     )
     return (
         table(spark, sf_dir, "orders")

@@ -161,6 +161,7 @@ def test_broadcast_is_measured(spark):
     assert joins.fits_broadcast(keys, 2_000_000)
     assert not joins.fits_broadcast(keys, 900_000)
     assert joins.fits_broadcast(spark.range(0), 0)
+    assert not joins.fits_broadcast(spark.range(1).select(F.array("id").alias("k")), 1 << 30)
 
 
 def test_scratch_is_the_folder_the_session_names(spark):
