@@ -53,8 +53,14 @@ def whole_form(value: Column, dtype: DataType) -> Column:
         return value.cast("bigint")
     if isinstance(dtype, DateType):
         return F.unix_date(value)
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(value)
+    if isinstance(dtype, TimestampNTZType):
+        # From its fields, so that the session time zone plays no part.
+        minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440
+        minutes += F.hour(value) * 60 + F.minute(value)
+        seconds = F.extract(F.lit("SECOND"), value)
+        return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
     return F.lit(None)
 
 
@@ -134,14 +140,18 @@ def postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def write_postings(terms: DataFrame, path: str, *, mode: str = "overwrite") -> None:
+def write_postings(
+    terms: DataFrame, path: str, *, mode: str = "overwrite", partitions: int | None = None
+) -> None:
     """Write postings range-partitioned by term and key, one directory per field.
 
     Range partitioning on the key as well splits a term that most rows have; sorting stops at the
-    term, because comparing the keys of a frequent term would dominate the write.
+    term, because comparing the keys of a frequent term would dominate the write. ``partitions``
+    defaults to the session's shuffle partitions, merged where small.
     """
+    ranges = [*ORDER, "key"] if partitions is None else [partitions, *ORDER, "key"]
     (
-        terms.repartitionByRange(*ORDER, "key")
+        terms.repartitionByRange(*ranges)
         .sortWithinPartitions(*ORDER)
         .write.mode(mode)
         .partitionBy("field")

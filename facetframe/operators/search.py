@@ -16,13 +16,24 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+)
 
 from facetframe.functions import paths as P
 from facetframe.operators.joins import BROADCAST_BYTES, fits_broadcast
 from facetframe.operators.postings import CODED, EXISTS, HAS_NULL, field_of, whole_form
 
 FEW = 1000
+LISTED = (StringType, IntegerType, LongType, DateType)
 Term = tuple[str, Any]
 
 
@@ -78,6 +89,14 @@ def _some_term(base: DataFrame, path: str, test: Callable[[Column], Column]) ->
     return F.exists(F.map_keys(at), test) if isinstance(dtype, MapType) else test(at)
 
 
+def _few(keys: DataFrame) -> list[Any] | None:
+    """The keys if they are few and of a type that literals express exactly."""
+    if not isinstance(keys.schema[0].dataType, LISTED):
+        return None
+    found = [r[0] for r in keys.limit(FEW + 1).collect()]
+    return found if len(found) <= FEW else None
+
+
 def _select(
     base: DataFrame,
     keys: DataFrame,
@@ -91,8 +110,8 @@ def _select(
     keys = keys.select(F.col("key").alias(key))
     how = "left_anti" if without else "left_semi"
     if limit > 0:
-        few = [r[0] for r in keys.limit(FEW + 1).collect()]
-        if len(few) <= FEW:
+        few = _few(keys)
+        if few is not None:
             among = F.col(key).isin(few)
             return base.filter(~F.coalesce(among, F.lit(False)) if without else among)
         if fits_broadcast(keys, limit):
@@ -249,8 +268,12 @@ def lookup_range(
     term, typed = _typed(dtype)
 
     def between(value: Column, bound: Callable[[Any], Column]) -> Column:
-        sides = [] if low is None else [value >= bound(low)]
-        return _every([value.isNotNull(), *sides, *([] if high is None else [value <= bound(high)])])
+        sides = [value.isNotNull()]
+        if low is not None:
+            sides.append(value >= bound(low))
+        if high is not None:
+            sides.append(value <= bound(high))
+        return _every(sides)
 
     keys = _once(base, path, postings.filter(_at(base, path) & between(term, typed)))
     condition = _some_term(base, path, lambda v: between(v, lambda b: F.lit(b).cast(dtype)))

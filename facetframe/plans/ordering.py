@@ -113,3 +113,12 @@ def sample_rows(spark, sf_dir):
         .select("o_orderkey", "o_totalprice")
         .sample(withReplacement=False, fraction=0.1, seed=11)
     )
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders")
+def sample_everything(spark, sf_dir):
+    return (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_totalprice")
+        .sample(withReplacement=False, fraction=1.0, seed=11)
+    )

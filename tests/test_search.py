@@ -145,6 +145,32 @@ def test_floating_terms_compare_as_numbers(spark):
     assert ids(ff.lookup_range(df, terms, "id", "x", 9, 10)) == [4, 5]
 
 
+def test_timestamps_without_zone_ignore_the_session_zone(spark):
+    rows = [(1, "2024-03-02 09:30:00.000001"), (2, "1969-12-31 23:59:59.5"), (3, "2024-03-10 02:30:00")]
+    df = spark.createDataFrame(rows, "id int, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    whole = {r.key: r.whole for r in ff.postings(df, "id", ["t"]).collect()}
+    assert whole[2] == -500_000
+    assert whole[1] == 1_709_371_800_000_001
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        assert {r.key: r.whole for r in ff.postings(df, "id", ["t"]).collect()} == whole
+        terms = ff.postings(df, "id", ["t"])
+        assert ids(ff.lookup(df, terms, "id", "t", "2024-03-10 02:30:00")) == [3]
+        assert ids(ff.lookup_range(df, terms, "id", "t", "2024-03-02 09:30:00.000001")) == [1, 3]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_keys_of_other_types(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "id int, a string")
+    for cast in ("double", "decimal(10,2)", "timestamp_ntz", "timestamp", "string", "date"):
+        source = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id"))
+        key = source.cast(cast) if "ti" in cast or cast == "date" else F.col("id").cast(cast)
+        keyed = df.withColumn("id", key)
+        found = ff.lookup(keyed, ff.postings(keyed, "id", ["a"]), "id", "a", "y")
+        assert [r.a for r in found.collect()] == ["y"]
+
+
 def test_long_terms_are_exact(spark):
     df = spark.createDataFrame([(1, 2**62), (2, 2**62 + 1)], "id int, x bigint")
     terms = ff.postings(df, "id", ["x"])
