@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import chat, packing, sharding
+from facetframe.llm import chat, langid, minhash, packing, sharding
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -65,3 +65,17 @@ def op8_best_fit_shards(spark, sf_dir):
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query()
+def op9_byte_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", langid.held_out(F.col("doc_id")))
+    labelled = docs.filter(~F.col("held_out")).select("doc_id", "text", "lang")
+    found = langid.predict_languages(docs.select("doc_id", "held_out", "text"), labelled)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op10_min_max_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
