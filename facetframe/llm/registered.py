@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import chat, langid, minhash, packing, sharding
+from facetframe.llm import chat, decontam, langid, minhash, packing, sharding
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -53,6 +53,22 @@ def op2_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op7_positional_decontamination(spark, sf_dir):
+    found = decontam.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+        "near_items",
+    )
+
+
 @query()
 def op8_best_fit_shards(spark, sf_dir):
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"), 24)
