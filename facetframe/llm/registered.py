@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import chat, decontam, langid, minhash, packing, sharding
+from facetframe.llm import chat, decontam, langid, lines, minhash, packing, sharding
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -53,6 +53,13 @@ def op2_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op6_segment_line_dedup(spark, sf_dir):
+    found = lines.line_counts(table(spark, sf_dir, "documents"), edits=2, min_chars=40)
+    dropped = F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines")
+    return found.select("doc_id", "n_lines", "n_dropped", "n_links", dropped)
+
+
 @query()
 def op7_positional_decontamination(spark, sf_dir):
     found = decontam.contamination(
