@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import chat, decontam, langid, lines, minhash, packing, sharding
+from facetframe.llm import chat, decontam, langid, lines, minhash, packing, sharding, warc
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -53,6 +53,21 @@ def op2_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_warc_index(spark, sf_dir):
+    # The table has no capture times: they follow from the id.
+    second = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10**9)) + 1_704_067_200
+    time = F.expr("timestamp_ntz '1970-01-01 00:00:00'") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), second.cast("decimal(18,6)")
+    )
+    iso = F.concat(F.replace(time.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
+    pages = table(spark, sf_dir, "pages").withColumn("time", iso)
+    return warc.archive_and_index(pages, min_bytes=0).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "time",
+        "range", "rank",
+    )
+
+
 @query()
 def op6_segment_line_dedup(spark, sf_dir):
     found = lines.line_counts(table(spark, sf_dir, "documents"), edits=2, min_chars=40)
