@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import chat, decontam, langid, lines, minhash, packing, sharding, warc
+from facetframe.llm import ann, chat, decontam, langid, lines, lm, minhash, packing, sharding, warc
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -53,6 +53,19 @@ def op2_best_two_fit(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_log_bilinear_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", lm.held_out(F.col("doc_id")))
+    return lm.score_texts(docs, docs.filter(~F.col("held_out")))
+
+
+@query()
+def op4_collision_counting(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 @query()
 def op5_warc_index(spark, sf_dir):
     # The table has no capture times: they follow from the id.
