@@ -220,6 +220,26 @@ def covered_words(runs: Column) -> Column:
     )
 
 
+def _near(docs: DataFrame, items: DataFrame, n: int, slack: int) -> DataFrame:
+    postings = positional_index(docs, items)
+    return stored(
+        proximity_matches(postings, rarest_pairs(items, postings, n), slack), "proximity_matches"
+    )
+
+
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, n: int = 10, slack: int = 3
+) -> DataFrame:
+    """The documents in which no window of an item occurs, with all their columns."""
+    items = items.select("item_id", "text")
+    slim = docs.select("doc_id", "text")
+    found = exact_matches(slim, _near(slim, items, n, slack), n)
+    found = found.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).distinct()
+    own = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
+    tag = F.crc32(docs["text"].cast("binary"))
+    return docs.join(found, (own == F.col("__doc")) & (tag == F.col("__tag")), "left_anti")
+
+
 def contamination(docs: DataFrame, items: DataFrame, n: int = 10, slack: int = 3) -> DataFrame:
     """One row for each document: its words, those hit by item windows, and the items.
 
@@ -228,10 +248,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, slack: int = 3
     """
     docs = docs.select("doc_id", "text")
     items = items.select("item_id", "text")
-    postings = positional_index(docs, items)
-    near = stored(
-        proximity_matches(postings, rarest_pairs(items, postings, n), slack), "proximity_matches"
-    )
+    near = _near(docs, items, n, slack)
     found = exact_matches(docs, near, n)
     per_doc = found.groupBy("doc", "tag").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs"),

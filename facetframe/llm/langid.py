@@ -240,11 +240,15 @@ def sampled_windows(labelled: DataFrame, per_language: int) -> tuple[list[str],
 
 
 def predict_languages(
-    docs: DataFrame, labelled: DataFrame, *, per_language: int = PER_LANGUAGE
+    docs: DataFrame,
+    labelled: DataFrame,
+    *,
+    names: tuple[str, str] = ("lang_pred", "score"),
+    per_language: int = PER_LANGUAGE,
 ) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to rows with a ``text``, learning from ``labelled``.
+    """Add the predicted language and its probability to rows with a ``text``.
 
-    ``labelled`` has ``doc_id``, ``text`` and ``lang``.
+    ``labelled`` has ``doc_id``, ``text`` and ``lang``; columns of the given names are replaced.
     """
     languages, windows, wanted = sampled_windows(labelled, per_language)
     model = train(windows, wanted, len(languages)) if languages else None
@@ -253,21 +257,21 @@ def predict_languages(
         for batch in batches:
             texts = batch.column("text").to_pylist()
             known = [i for i, t in enumerate(texts) if model and t and LETTER.search(t)]
-            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            found, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             for first in range(0, len(known), 256):
                 ids = known[first : first + 256]
                 p = pooled(model, [texts[i].encode() for i in ids])
                 best = p.argmax(axis=1)
                 for i, b, s in zip(ids, best, p.max(axis=1)):
-                    names[i], scores[i] = languages[b], min(float(s), 1.0)
+                    found[i], scores[i] = languages[b], min(float(s), 1.0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, *names],
             )
 
-    fields = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    fields = [f for f in docs.schema.fields if f.name not in names]
     schema = T.StructType(
-        [*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+        [*fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
     )
     return docs.select(*[f"`{f.name}`" for f in fields]).mapInArrow(predict, schema)
 
