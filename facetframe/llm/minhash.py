@@ -36,6 +36,7 @@ BAND = 4
 LEAST_AGREEING = 42
 BUCKET_BLOCK = 2048
 FAMILY_BLOCK = 1_000_000  # shingles
+FILTER_SLOTS = 1 << 20
 U64 = np.uint64
 
 _draws = np.random.default_rng(20240607)
@@ -189,12 +190,11 @@ def _runs(
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(stream, "a long, b long")
 
 
-def _in_block_pairs(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
-    """Rows copied to each pair of blocks of their key; ``blocks`` has the number for each key."""
+def _in_block_pairs(rows: DataFrame) -> DataFrame:
+    """Rows copied to each pair of blocks of their key, of which there are ``blocks``."""
     own = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     return (
-        rows.join(blocks, key)
-        .withColumn("own", own)
+        rows.withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .withColumn("low", F.least("own", "other"))
         .withColumn("high", F.greatest("own", "other"))
@@ -292,8 +292,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "classes",
     )
 
-    banded = classes.select("rep", "code", F.posexplode("bands").alias("band", "value")).select(
-        "rep", "code", F.xxhash64("band", "value").alias("bucket")
+    banded = classes.select("rep", F.posexplode("bands").alias("band", "value")).select(
+        "rep", F.xxhash64("band", "value").alias("bucket")
     )
     shared = (
         banded.groupBy("bucket")
@@ -306,7 +306,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8)
         return agreeing_forest(rows.column("rep").to_numpy(), codes.reshape(len(rows), -1))
 
-    meeting = _in_block_pairs(banded, "bucket", shared)
+    # Signatures travel only with documents that share a bucket.
+    met = banded.join(shared, "bucket").join(classes.select("rep", "code"), "rep")
+    meeting = _in_block_pairs(met)
     near = _runs(meeting, ["bucket", "low", "high"], bucket_forest)
     families = components(near, "family_links").withColumnRenamed("component", "family")
     families = stored(families.withColumnRenamed("node", "rep"), "families")
@@ -321,16 +323,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                     names=["family", "rep", "set"],
                 )
 
-    # Repeated ids have a row each; the one whose set the class stands for goes on.
-    members = families.join(classes.select("rep", "set_key", "n_shingles", "code"), "rep")
+    members = families.join(classes.select("rep", "n_shingles", "code"), "rep")
     blocks = members.groupBy("family").agg(
         F.ceil(F.sum("n_shingles") / FAMILY_BLOCK).alias("blocks")
     )
-    texts = docs.join(families, docs["doc_id"] == families["rep"])
+    # A filter of bounded size first, so that few texts are shuffled for the exact join.
+    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_SLOTS)).alias("slot")
+    texts = (
+        docs.withColumnRenamed("doc_id", "rep")
+        .withColumn("slot", slot)
+        .join(F.broadcast(families.select(slot).distinct()), "slot", "left_semi")
+        .join(families, "rep")
+    )
     sets = texts.select("family", "rep", "text").mapInArrow(
         sets_of, "family long, rep long, set binary"
     )
-    full = sets.join(classes.select("rep", "code"), "rep")
+    full = sets.join(members.select("rep", "code"), "rep").join(blocks, "family")
 
     def family_forest(rows: pa.Table) -> tuple[list, list]:
         codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8)
@@ -342,8 +350,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
             percent,
         )
 
-    pairs = _in_block_pairs(full, "family", blocks)
-    links = _runs(pairs, ["family", "low", "high"], family_forest)
+    links = _runs(_in_block_pairs(full), ["family", "low", "high"], family_forest)
     joined = components(links, "confirmed_links")
     named = classes.select("set_key", "rep").join(joined, F.col("rep") == F.col("node"), "left")
     named = named.select(
