@@ -5,16 +5,19 @@ plans them and Spark runs them. Only the functions in ``sources.tables`` and the
 ``operators.postings`` store data.
 """
 
-from facetframe.functions.paths import path_column, path_type, promote, without_promoted
-from facetframe.functions.predicates import contains_value, has_key, has_token, key_equals
+from facetframe.functions.paths import path_column, path_type, promote, where, without_promoted
+from facetframe.functions.predicates import contains_value, has_key, has_token, key_equals, words
 from facetframe.operators.facets import facet, group_paths
-from facetframe.operators.paging import has_next, page
+from facetframe.operators.paging import has_next, page, page_after
 from facetframe.operators.postings import (
+    append_rows,
     facet_from_counts,
     facet_from_postings,
     postings,
+    read_postings,
     save_searchable,
     term_counts,
+    upserted_postings,
     write_postings,
 )
 from facetframe.operators.profile import path_profile
@@ -35,6 +38,7 @@ from facetframe.operators.upsert import upsert
 from facetframe.sources.tables import compact, read_table, write_table
 
 __all__ = [
+    "append_rows",
     "compact",
     "contains_value",
     "existing_keys",
@@ -56,17 +60,22 @@ __all__ = [
     "lookup_range",
     "missing",
     "page",
+    "page_after",
     "path_column",
     "path_profile",
     "path_type",
     "postings",
     "promote",
+    "read_postings",
     "read_table",
     "save_searchable",
     "term_counts",
     "token_filter",
     "upsert",
+    "upserted_postings",
+    "where",
     "without_promoted",
+    "words",
     "write_postings",
     "write_table",
 ]

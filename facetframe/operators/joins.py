@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
-SALT = "__salt"
 
 
 def fits_broadcast(keys: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -36,12 +34,8 @@ def filter_by_keys(
     """``left_semi`` or ``left_anti`` join of the base with distinct keys.
 
     Keys measured below the limit are broadcast, so the base is only scanned. Beyond it both
-    sides are shuffled, and since one key may hold a large share of the base, the base is salted
-    by its input partition: that spreads a key over several tasks, keeps equal copies of a row
-    apart and gives a re-run task the same salts. The distinct keys are repeated per salt.
+    sides are shuffled, and adaptive execution splits the partitions of the base that one key makes
+    large.
     """
-    if limit > 0 and fits_broadcast(keys, limit):
-        return base.join(F.broadcast(keys), list(on), how)
-    salted = base.withColumn(SALT, F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    repeated = keys.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*on, SALT], how).select(*[f"`{c}`" for c in base.columns])
+    sent = F.broadcast(keys) if limit > 0 and fits_broadcast(keys, limit) else keys
+    return base.join(sent, list(on), how)

@@ -1,16 +1,18 @@
 """Lookups of rows through postings: exact, combined, negated, prefix, range and existence.
 
-Every lookup equals a filter on the base table and picks the cheapest exact way to it. The keys
-found in the postings are measured first (one pruned scan):
+A lookup is a plan and starts no job: the keys of the postings that match, then a semi or anti join
+of the base with them. It equals a filter of the base on the path, as of when the postings were
+written. Terms and bounds are compared with the posted value in the type Spark would choose for that
+filter; nothing is cast down to the type of the path. A path that was not posted is refused.
 
-- a few become an ``IN`` list, which Parquet can use to skip row groups of the base;
-- more, but below a byte limit, are broadcast to a semi or anti join;
-- beyond the limit the base is filtered on the path itself, which needs no shuffle either.
+No hint is given: from the sizes it finds when it runs, adaptive execution broadcasts few keys, joins
+many, and splits what is skewed. Tables from ``save_searchable`` join without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
+from datetime import date, datetime
 from functools import reduce
 from typing import Any
 
@@ -18,130 +20,77 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DataType,
     DateType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
     MapType,
     StringType,
 )
 
 from facetframe.functions import paths as P
-from facetframe.operators.joins import BROADCAST_BYTES, fits_broadcast
-from facetframe.operators.postings import CODED, EXISTS, HAS_NULL, field_of, whole_form
+from facetframe.operators.postings import (
+    EXISTS,
+    FLOATING,
+    HAS_NULL,
+    INTEGRAL,
+    at_path,
+    atomic_type,
+    marked,
+    posted_type,
+    typed_value,
+)
 
-FEW = 1000
-LISTED = (StringType, IntegerType, LongType, DateType)
 Term = tuple[str, Any]
 
 
-def _at(base: DataFrame, path: str) -> Column:
-    return (F.col("field") == field_of(base, path)) & (F.col("path") == P.plain(path))
-
-
-def _marked(kind: str, path: str) -> Column:
-    return (F.col("field") == kind) & (F.col("path") == P.plain(path))
-
-
-def _is_nested(base: DataFrame, path: str) -> bool:
-    return isinstance(P.path_type(base, path), (ArrayType, MapType))
-
-
-def _atomic_type(base: DataFrame, path: str) -> DataType:
-    """The type of the terms at a path: elements of an array, keys of a map, else the value."""
-    dtype = P.path_type(base, path)
-    if isinstance(dtype, ArrayType):
-        return dtype.elementType
-    return dtype.keyType if isinstance(dtype, MapType) else dtype
-
+def _comparable(dtype: DataType, literal: Any) -> tuple[Column, Column]:
+    """A column of the postings and a literal that compare like the path and the value.
 
-def _typed(dtype: DataType) -> tuple[Column, Callable[[Any], Column]]:
-    """The postings column that compares like the type, and how to bring a literal to it."""
-    if isinstance(dtype, (FloatType, DoubleType)):
-        return F.col("num"), lambda v: F.lit(v).cast(dtype).cast("double")
-    if isinstance(dtype, CODED):
-        return F.col("whole"), lambda v: whole_form(F.lit(v).cast(dtype), dtype)
-    return F.col("value"), lambda v: F.lit(v).cast(dtype).cast("string")
-
-
-def _is_term(base: DataFrame, path: str, value: Any) -> Column:
-    """The condition on the postings."""
-    term, typed = _typed(_atomic_type(base, path))
-    return _at(base, path) & (term == typed(value))
-
-
-def _has_term(base: DataFrame, path: str, value: Any) -> Column:
-    """The same condition on the base."""
-    dtype, at = P.path_type(base, path), P.path_column(base, path)
-    literal = F.lit(value).cast(_atomic_type(base, path))
-    if isinstance(dtype, ArrayType):
-        return F.array_contains(at, literal)
-    return F.map_contains_key(at, literal) if isinstance(dtype, MapType) else at == literal
+    The stored column itself is used where Spark would widen both alike, since the reader can skip
+    row groups by it; otherwise the value is brought back to its own type.
+    """
+    if isinstance(dtype, FLOATING):
+        return F.col("num"), F.lit(literal)
+    if isinstance(dtype, INTEGRAL) and not isinstance(dtype, BooleanType):
+        if isinstance(literal, (int, float)) and not isinstance(literal, bool):
+            return F.col("whole"), F.lit(literal)
+    if isinstance(dtype, DateType) and isinstance(literal, date) and not isinstance(literal, datetime):
+        return F.col("whole"), F.unix_date(F.lit(literal)).cast("bigint")
+    return typed_value(dtype), F.lit(literal)
 
 
-def _some_term(base: DataFrame, path: str, test: Callable[[Column], Column]) -> Column:
-    """Whether some term at the path passes the test."""
-    dtype, at = P.path_type(base, path), P.path_column(base, path)
-    if isinstance(dtype, ArrayType):
-        return F.exists(at, test)
-    return F.exists(F.map_keys(at), test) if isinstance(dtype, MapType) else test(at)
+def _is_term(postings: DataFrame, path: str, value: Any) -> Column:
+    dtype = atomic_type(posted_type(postings, path))
+    stored, literal = _comparable(dtype, value)
+    return at_path(path) & (stored == literal)
 
 
-def _few(keys: DataFrame) -> list[Any] | None:
-    """The keys if they are few and of a type that literals express exactly."""
-    if not isinstance(keys.schema[0].dataType, LISTED):
-        return None
-    found = [r[0] for r in keys.limit(FEW + 1).collect()]
-    return found if len(found) <= FEW else None
+def _select(base: DataFrame, keys: DataFrame, key: str, how: str = "left_semi") -> DataFrame:
+    return base.join(keys.select(F.col("key").alias(key)), key, how).select(
+        *[P.quoted(c) for c in base.columns]
+    )
 
 
-def _select(
-    base: DataFrame,
-    keys: DataFrame,
-    key: str,
-    condition: Column,
-    limit: int,
-    join: bool,
-    without: bool = False,
-) -> DataFrame:
-    """Base rows whose key is (``without``: is not) among the keys; ``condition`` says the same."""
-    keys = keys.select(F.col("key").alias(key))
-    how = "left_anti" if without else "left_semi"
-    if limit > 0:
-        few = _few(keys)
-        if few is not None:
-            among = F.col(key).isin(few)
-            return base.filter(~F.coalesce(among, F.lit(False)) if without else among)
-        if fits_broadcast(keys, limit):
-            return base.join(F.broadcast(keys), key, how)
-    return base.join(keys, key, how) if join else base.filter(condition)
-
-
-def lookup_keys(base: DataFrame, postings: DataFrame, path: str, value: Any) -> DataFrame:
+def lookup_keys(postings: DataFrame, path: str, value: Any) -> DataFrame:
     """``key`` of every row with the exact term. Enough to count hits, without reading the base."""
-    return postings.filter(_is_term(base, path, value)).select("key")
+    return postings.filter(_is_term(postings, path, value)).select("key")
 
 
-def lookup(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    value: Any,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
-) -> DataFrame:
-    """Base rows with the exact term: the value at the path, an array element, or a map key.
+def lookup(base: DataFrame, postings: DataFrame, key: str, path: str, value: Any) -> DataFrame:
+    """Base rows with the exact term: the value at the path, an array element, or a map key."""
+    return _select(base, lookup_keys(postings, path, value), key)
 
-    ``limit`` bounds the keys that are sent to the base, 0 skips looking at them. ``join`` joins
-    larger key sets instead of filtering on the path: for tables from ``save_searchable``, where
-    the join needs no shuffle and spares reading a wide path.
-    """
-    keys = lookup_keys(base, postings, path, value)
-    return _select(base, keys, key, _has_term(base, path, value), limit, join)
+
+def _rarest_first(terms: Sequence[Term], counts: DataFrame | None) -> list[Term]:
+    """The terms by their stored counts; one row per term is read, and none without counts."""
+    if counts is None:
+        return list(terms)
+    tagged = [
+        counts.filter(_is_term(counts, p, v)).agg(F.lit(i).alias("i"), F.sum("n").alias("n"))
+        for i, (p, v) in enumerate(terms)
+    ]
+    found = {r["i"]: r["n"] or 0 for r in reduce(DataFrame.unionByName, tagged).collect()}
+    return [terms[i] for i in sorted(found, key=found.get)]
 
 
 def lookup_all(
@@ -150,145 +99,69 @@ def lookup_all(
     key: str,
     terms: Sequence[Term],
     *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Base rows with every one of the terms, from one grouping of the postings by key."""
-    hits = [_is_term(base, p, v) for p, v in terms]
-    keys = (
-        postings.filter(_any(hits))
-        .groupBy("key")
-        .agg(*[F.max(h).alias(f"hit_{i}") for i, h in enumerate(hits)])
-        .filter(_every([F.col(f"hit_{i}") for i in range(len(hits))]))
-    )
-    condition = _every([_has_term(base, p, v) for p, v in terms])
-    return _select(base, keys, key, condition, limit, join)
+    """Base rows with every one of the terms.
 
+    The key lists are intersected one after another, from the rarest where ``counts`` (stored
+    ``term_counts``) are given, and the base meets only what is left.
+    """
+    lists = [lookup_keys(postings, p, v) for p, v in _rarest_first(terms, counts)]
+    return _select(base, reduce(lambda a, b: a.join(b, "key", "left_semi"), lists), key)
 
-def lookup_any(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    terms: Sequence[Term],
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
-) -> DataFrame:
+
+def lookup_any(base: DataFrame, postings: DataFrame, key: str, terms: Sequence[Term]) -> DataFrame:
     """Base rows with at least one of the terms."""
-    keys = postings.filter(_any([_is_term(base, p, v) for p, v in terms])).select("key").distinct()
-    condition = _any([_has_term(base, p, v) for p, v in terms])
-    return _select(base, keys, key, condition, limit, join)
+    wanted = reduce(lambda a, b: a | b, [_is_term(postings, p, v) for p, v in terms])
+    return _select(base, postings.filter(wanted), key)
 
 
-def lookup_not(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    value: Any,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
-) -> DataFrame:
+def lookup_not(base: DataFrame, postings: DataFrame, key: str, path: str, value: Any) -> DataFrame:
     """Base rows for which the term test is false: the path is not null, lacks the term and, for
     an array, has no null element (which would make SQL's answer unknown)."""
-    out = postings.filter(_is_term(base, path, value) | _marked(HAS_NULL, path))
-    known = base.filter(P.path_column(base, path).isNotNull())
-    condition = ~_has_term(base, path, value)
-    return _select(known, out, key, condition, limit, join, without=True)
+    out = postings.filter(_is_term(postings, path, value) | marked(HAS_NULL, path))
+    return _select(exists(base, postings, key, path), out, key, "left_anti")
 
 
-def existing_keys(base: DataFrame, postings: DataFrame, path: str) -> DataFrame:
+def existing_keys(postings: DataFrame, path: str) -> DataFrame:
     """``key`` of every row whose path is not null, without reading the base."""
-    found = _marked(EXISTS, path) if _is_nested(base, path) else _at(base, path)
-    return postings.filter(found).select("key")
+    nested = isinstance(posted_type(postings, path), (ArrayType, MapType))
+    return postings.filter(marked(EXISTS, path) if nested else at_path(path)).select("key")
 
 
-def exists(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
-) -> DataFrame:
+def exists(base: DataFrame, postings: DataFrame, key: str, path: str) -> DataFrame:
     """Base rows whose path is not null."""
-    keys = existing_keys(base, postings, path)
-    return _select(base, keys, key, P.path_column(base, path).isNotNull(), limit, join)
+    return _select(base, existing_keys(postings, path), key)
 
 
-def missing(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
-) -> DataFrame:
+def missing(base: DataFrame, postings: DataFrame, key: str, path: str) -> DataFrame:
     """Base rows whose path is null: a missing key, a null value or a null parent."""
-    keys = existing_keys(base, postings, path)
-    condition = P.path_column(base, path).isNull()
-    return _select(base, keys, key, condition, limit, join, without=True)
+    return _select(base, existing_keys(postings, path), key, "left_anti")
 
 
 def lookup_prefix(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    prefix: str,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
+    base: DataFrame, postings: DataFrame, key: str, path: str, prefix: str
 ) -> DataFrame:
-    """Base rows with some term at the path whose text starts with the prefix."""
-    keys = postings.filter(_at(base, path) & F.col("value").startswith(prefix))
-    condition = _some_term(base, path, lambda v: v.cast("string").startswith(prefix))
-    return _select(base, _once(base, path, keys), key, condition, limit, join)
+    """Base rows with some string at the path that starts with the prefix."""
+    dtype = atomic_type(posted_type(postings, path))
+    if not isinstance(dtype, StringType):
+        raise TypeError(f"prefixes need strings, {path} has {dtype.simpleString()}")
+    return _select(base, postings.filter(at_path(path) & F.col("value").startswith(prefix)), key)
 
 
 def lookup_range(
-    base: DataFrame,
-    postings: DataFrame,
-    key: str,
-    path: str,
-    low: Any = None,
-    high: Any = None,
-    *,
-    limit: int = BROADCAST_BYTES,
-    join: bool = False,
+    base: DataFrame, postings: DataFrame, key: str, path: str, low: Any = None, high: Any = None
 ) -> DataFrame:
     """Base rows with some term at the path between the inclusive bounds; None leaves a side open.
 
-    Strings compare by their bytes, other types by their typed column.
+    Strings compare by their bytes.
     """
-    dtype = _atomic_type(base, path)
-    term, typed = _typed(dtype)
-
-    def between(value: Column, bound: Callable[[Any], Column]) -> Column:
-        sides = [value.isNotNull()]
-        if low is not None:
-            sides.append(value >= bound(low))
-        if high is not None:
-            sides.append(value <= bound(high))
-        return _every(sides)
-
-    keys = _once(base, path, postings.filter(_at(base, path) & between(term, typed)))
-    condition = _some_term(base, path, lambda v: between(v, lambda b: F.lit(b).cast(dtype)))
-    return _select(base, keys, key, condition, limit, join)
-
-
-def _once(base: DataFrame, path: str, keys: DataFrame) -> DataFrame:
-    """Each key once; only multi-valued paths can repeat one."""
-    keys = keys.select("key")
-    return keys.distinct() if _is_nested(base, path) else keys
-
-
-def _any(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
-
-
-def _every(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    dtype = atomic_type(posted_type(postings, path))
+    sides = [at_path(path)]
+    if low is not None:
+        stored, literal = _comparable(dtype, low)
+        sides.append(stored >= literal)
+    if high is not None:
+        stored, literal = _comparable(dtype, high)
+        sides.append(stored <= literal)
+    return _select(base, postings.filter(reduce(lambda a, b: a & b, sides)), key)

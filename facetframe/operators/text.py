@@ -8,5 +8,5 @@ from facetframe.functions.predicates import has_token
 
 
 def token_filter(df: DataFrame, text_col: str, token: str) -> DataFrame:
-    """Rows whose text contains the token as a whole word of letters a-z, ignoring case."""
+    """Rows whose text has the token as a whole word of letters and digits, ignoring case."""
     return df.filter(has_token(text_col, token))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from facetframe.operators.facets import facet
-from facetframe.plans.prepared import nested_docs, nested_orders
+from facetframe.plans.prepared import nested_docs, nested_orders, stored_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
     CUSTOMER_SQL,
@@ -13,8 +13,6 @@ from facetframe.sources.nested import (
     ORDERS_SQL,
 )
 
-col = F.col
-
 
 def outer(array: str) -> str:
     """SQL for ``explode_outer``: a null or empty array gives one null."""
@@ -65,11 +63,8 @@ def facet_struct_array(spark, sf_dir):
 GROUP BY on_f, on_o"""
 )
 def facet_several(spark, sf_dir):
-    return facet(
-        nested_orders(spark, sf_dir),
-        {"on_f": "by_status.F", "on_o": "by_status.O"},
-        {"n": F.count("*")},
-    )
+    both = {"on_f": "by_status.F", "on_o": "by_status.O"}
+    return facet(nested_orders(spark, sf_dir), both).withColumnRenamed("count", "n")
 
 
 @query(
@@ -95,11 +90,10 @@ def facet_metrics(spark, sf_dir):
 @query(
     ORDERS_SQL
     + f"SELECT marks, count(*) AS n FROM (SELECT {outer('marks')} AS marks FROM orders_nested)"
-    + " WHERE marks IS NULL GROUP BY marks"
+    + " GROUP BY marks"
 )
 def facet_null_bucket(spark, sf_dir):
-    buckets = facet(nested_orders(spark, sf_dir), "marks", {"n": F.count("*")})
-    return buckets.filter(col("marks").isNull())
+    return facet(nested_orders(spark, sf_dir), "marks", {"n": F.count("*")})
 
 
 # list_distinct drops nulls, so a null element is put back once.
@@ -139,7 +133,7 @@ GROUP BY flags"""
 )
 def facet_filtered(spark, sf_dir):
     return facet(
-        nested_orders(spark, sf_dir),
+        stored_orders(spark, sf_dir),
         "flags",
         {"n": F.count("*")},
         where="attrs['status'] = 'O' AND day > '1997-05-29' AND array_contains(flags, 'R')",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from facetframe.operators.paging import has_next, page
+from facetframe.operators.paging import has_next, page, page_after
 from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, table
@@ -15,21 +16,20 @@ col = F.col
 @query(
     ORDERS_SQL
     + """SELECT o_orderkey, attrs['tier.1'] AS tier FROM orders_nested
-ORDER BY tier ASC NULLS FIRST, o_orderkey DESC NULLS LAST LIMIT 500"""
+ORDER BY tier ASC NULLS FIRST, o_orderkey DESC NULLS LAST"""
 )
 def sort_default_nulls(spark, sf_dir):
     return (
         nested_orders(spark, sf_dir)
         .select("o_orderkey", col("attrs.`tier.1`").alias("tier"))
         .orderBy(col("tier").asc(), col("o_orderkey").desc())
-        .limit(500)
     )
 
 
 @query(
     ORDERS_SQL
     + """SELECT o_orderkey, attrs['tier.1'] AS tier FROM orders_nested
-ORDER BY tier DESC NULLS FIRST, attrs['status'] ASC NULLS LAST, o_orderkey LIMIT 500"""
+ORDER BY tier DESC NULLS FIRST, attrs['status'] ASC NULLS LAST, o_orderkey"""
 )
 def sort_explicit_nulls(spark, sf_dir):
     return (
@@ -40,7 +40,6 @@ def sort_explicit_nulls(spark, sf_dir):
             "o_orderkey",
         )
         .select("o_orderkey", col("attrs.`tier.1`").alias("tier"))
-        .limit(500)
     )
 
 
@@ -59,7 +58,7 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 600"""
 )
 def page_numbered(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return page(orders, [col("o_totalprice").desc(), "o_orderkey"], 7, 100)
+    return page(orders, ["o_totalprice desc", "o_orderkey"], 7, 100)
 
 
 @query(
@@ -68,7 +67,18 @@ ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000 OFFSET 9000"""
 )
 def page_deep(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    return page(orders, [col("o_totalprice").desc(), "o_orderkey"], 10, 1000, top=5000)
+    return page(orders, ["o_totalprice desc", "o_orderkey"], 10, 1000)
+
+
+@query(
+    """SELECT o_orderkey, o_orderpriority FROM orders
+WHERE o_orderpriority < '3-MEDIUM' OR (o_orderpriority = '3-MEDIUM' AND o_orderkey > 2000)
+ORDER BY o_orderpriority DESC, o_orderkey LIMIT 300"""
+)
+def page_after_key(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    last = {"o_orderpriority": "3-MEDIUM", "o_orderkey": 2000}
+    return page_after(orders, ["o_orderpriority desc", "o_orderkey"], last, 300)
 
 
 @query(
@@ -106,19 +116,50 @@ def limit_offset(spark, sf_dir):
     )
 
 
-@query()
+# Samples are random; what must hold of every sample is checked on the whole table.
+@query(
+    """SELECT o_orderpriority, count(*) AS n, true AS repeatable, true AS part_of_table,
+       true AS about_a_tenth FROM orders GROUP BY o_orderpriority"""
+)
 def sample_rows(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+
+    def marked(name):
+        drawn = orders.sample(withReplacement=False, fraction=0.1, seed=11)
+        return drawn.select("o_orderkey", F.lit(1).alias(name))
+
+    whole = Window.partitionBy(F.lit(1))  # a row per priority
+    share = F.sum("drawn").over(whole) / F.sum("n").over(whole)
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_totalprice")
-        .sample(withReplacement=False, fraction=0.1, seed=11)
+        orders.join(marked("one"), "o_orderkey", "full")
+        .join(marked("two"), "o_orderkey", "full")
+        .groupBy("o_orderpriority")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bool_and(F.col("one").eqNullSafe(F.col("two"))).alias("repeatable"),
+            F.bool_and(F.col("o_orderpriority").isNotNull()).alias("part_of_table"),
+            F.count("one").alias("drawn"),
+        )
+        .withColumn("about_a_tenth", share.between(0.07, 0.13))
+        .drop("drawn")
     )
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders")
-def sample_everything(spark, sf_dir):
+@query(
+    """SELECT count(*) AS n, true AS about_twice, true AS part_of_table, true AS has_repeats
+FROM orders"""
+)
+def sample_with_replacement(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    drawn = orders.sample(withReplacement=True, fraction=2.0, seed=7)
+    times = drawn.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("times"))
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_totalprice")
-        .sample(withReplacement=False, fraction=1.0, seed=11)
+        orders.withColumn("known", F.lit(True))
+        .join(times, "o_orderkey", "full")
+        .agg(
+            F.count("known").alias("n"),
+            (F.sum("times") / F.count("known")).between(1.8, 2.2).alias("about_twice"),
+            F.bool_and(F.col("known").isNotNull()).alias("part_of_table"),
+            (F.max("times") > 1).alias("has_repeats"),
+        )
     )

@@ -320,13 +320,15 @@ def contains_map_of_array(spark, sf_dir):
 @query(
     """SELECT vec_id, label FROM embeddings
 WHERE list_contains(list_transform(embedding, lambda x: CAST(floor(x * 100) AS INTEGER)), 17)
-  AND list_contains(embedding, embedding[3])"""
+  OR list_contains(embedding, (SELECT embedding[3] FROM embeddings WHERE vec_id = 7))"""
 )
 def contains_number(spark, sf_dir):
+    # One float of one row: few other rows hold it.
+    wanted = table(spark, sf_dir, "embeddings").filter("vec_id = 7").select(col("embedding")[2]).scalar()
     buckets = F.transform("embedding", lambda x: F.floor(x * 100).cast("int"))
     return (
         table(spark, sf_dir, "embeddings")
-        .filter(contains_value(buckets, 17) & contains_value("embedding", col("embedding")[2]))
+        .filter(contains_value(buckets, 17) | contains_value("embedding", wanted))
         .select("vec_id", "label")
     )
 
@@ -384,15 +386,31 @@ def filter_with_residual(spark, sf_dir):
 
 @query(
     """SELECT doc_id, lang FROM documents
-WHERE list_contains(regexp_split_to_array(lower(text), '[^a-z]+'), 'the')"""
+WHERE list_contains(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'the')"""
 )
 def token_match(spark, sf_dir):
     return token_filter(table(spark, sf_dir, "documents"), "text", "the").select("doc_id", "lang")
 
 
+@query(
+    """SELECT doc_id, lang FROM documents
+WHERE list_contains(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'ré')"""
+)
+def token_match_accent(spark, sf_dir):
+    return token_filter(table(spark, sf_dir, "documents"), "text", "ré").select("doc_id", "lang")
+
+
+@query(
+    """SELECT doc_id, lang FROM documents
+WHERE list_contains(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'mail0')"""
+)
+def token_match_digits(spark, sf_dir):
+    return token_filter(table(spark, sf_dir, "documents"), "text", "mail0").select("doc_id", "lang")
+
+
 @query(
     """SELECT conv_id, turn, role FROM conversations
-WHERE list_contains(regexp_split_to_array(lower(text), '[^a-z]+'), 'de')"""
+WHERE list_contains(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), 'de')"""
 )
 def token_match_turns(spark, sf_dir):
     turns = token_filter(table(spark, sf_dir, "conversations"), "text", "de")

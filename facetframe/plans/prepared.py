@@ -1,22 +1,19 @@
-"""Nested tables and their postings, written once per session and read by the queries.
+"""Nested tables for the queries: derived lazily, and stored only where storage is the subject.
 
-They are derived from the flat inputs by Spark and stored in the scratch folder, as a user would
-store a nested table once and query it many times.
+Nothing is remembered between calls, so a query always sees its input as it is.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 
-from facetframe.functions.paths import without_promoted
-from facetframe.operators.postings import postings, term_counts, write_postings
+from facetframe.operators.postings import postings, read_postings, term_counts, write_postings
 from facetframe.sources.nested import docs_nested, orders_nested
 from facetframe.sources.scratch import scratch_path
 from facetframe.sources.tables import read_table, write_table
 
-_written: dict[tuple[str, str, str], str] = {}
+nested_orders = orders_nested
+nested_docs = docs_nested
 
 ORDER_TERMS = [
     "attrs",
@@ -31,76 +28,62 @@ ORDER_TERMS = [
 ]
 
 
-def written(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
-    """The path of the named table for this session and input, written on first use."""
-    slot = (spark.sparkContext.applicationId, sf_dir, name)
-    if slot not in _written:
-        path = scratch_path(spark, name)
-        write(path)
-        _written[slot] = path
-    return _written[slot]
-
-
 def orders_path(spark: SparkSession, sf_dir: str) -> str:
     """Nested orders with promoted map keys, sorted for selective filters on the status."""
-
-    def write(path: str) -> None:
-        write_table(
-            orders_nested(spark, sf_dir),
-            path,
-            sort_by=["attrs.status", "o_orderkey"],
-            promote=["attrs.status", "attrs.`tier.1`"],
-            bloom=["o_orderkey", "o_custkey"],
-        )
-
-    return written(spark, sf_dir, "orders", write)
+    path = scratch_path(spark, "orders")
+    write_table(
+        orders_nested(spark, sf_dir),
+        path,
+        sort_by=["attrs.status", "o_orderkey"],
+        promote=["attrs.status", "attrs.`tier.1`"],
+        bloom=["o_orderkey", "o_custkey"],
+    )
+    return path
+
+
+def stored_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, orders_path(spark, sf_dir))
 
 
 def orders_by_year_path(spark: SparkSession, sf_dir: str) -> str:
-    def write(path: str) -> None:
-        write_table(
-            without_promoted(nested_orders(spark, sf_dir)),
-            path,
-            partition_by=["year"],
-            sort_by=["o_orderkey"],
-        )
+    path = scratch_path(spark, "orders_by_year")
+    write_table(
+        orders_nested(spark, sf_dir), path, partition_by=["year"], sort_by=["o_orderkey"]
+    )
+    return path
 
-    return written(spark, sf_dir, "orders_by_year", write)
 
+def _searchable(spark, df: DataFrame, name: str, key: str, paths: list[str]):
+    path = scratch_path(spark, name)
+    write_table(df, path)
+    base = read_table(spark, path)
+    terms = scratch_path(spark, f"{name}_postings")
+    write_postings(postings(base, key, paths), terms)
+    return base, read_postings(spark, terms)
 
-def nested_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, orders_path(spark, sf_dir))
-
-
-def nested_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def write(path: str) -> None:
-        write_table(docs_nested(spark, sf_dir), path)
 
-    return read_table(spark, written(spark, sf_dir, "docs", write))
+def searchable_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored nested orders and their postings."""
+    return _searchable(
+        spark, orders_nested(spark, sf_dir), "searchable_orders", "o_orderkey", ORDER_TERMS
+    )
 
 
-def _postings(
-    spark: SparkSession, sf_dir: str, name: str, df: DataFrame, key: str, paths: Sequence[str]
-) -> DataFrame:
-    def write(path: str) -> None:
-        write_postings(postings(df, key, paths), path)
-
-    return spark.read.parquet(written(spark, sf_dir, name, write))
+def searchable_docs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    paths = ["words", "meta", "n_chars"]
+    return _searchable(spark, docs_nested(spark, sf_dir), "searchable_docs", "doc_id", paths)
 
 
 def order_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = nested_orders(spark, sf_dir)
-    return _postings(spark, sf_dir, "order_postings", orders, "o_orderkey", ORDER_TERMS)
+    return searchable_orders(spark, sf_dir)[1]
 
 
 def doc_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = nested_docs(spark, sf_dir)
-    return _postings(spark, sf_dir, "doc_postings", docs, "doc_id", ["words", "meta", "n_chars"])
+    return searchable_docs(spark, sf_dir)[1]
 
 
 def order_term_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def write(path: str) -> None:
-        counts = term_counts(order_postings(spark, sf_dir))
-        write_table(counts, path, partition_by=["field"], sort_by=["path", "value"])
-
-    return read_table(spark, written(spark, sf_dir, "order_term_counts", write))
+    counts = term_counts(order_postings(spark, sf_dir))
+    path = scratch_path(spark, "order_term_counts")
+    write_table(counts, path, partition_by=["field"], sort_by=["path", "value"])
+    return read_table(spark, path)

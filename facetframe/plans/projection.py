@@ -147,37 +147,47 @@ def nested_round_trip(spark, sf_dir):
     )
 
 
+PROFILED = {
+    "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string",
+    "o_totalprice": "double", "placed": "timestamp_ntz", "day": "date", "year": "int",
+    "closed": "boolean", "attrs": "map<string,string>", "flags": "string", "marks": "string",
+    "by_status": "map<string,array<string>>", "detail.priority": "string",
+    "detail.urgent": "boolean", "detail.flags": "string", "cust.name": "string",
+    "cust.segment": "string",
+}
+
+
 @query(
-    ORDERS_SQL
-    + """, keys AS (SELECT unnest(map_keys(attrs)) AS k, attrs FROM orders_nested),
-status_keys AS (SELECT unnest(map_keys(by_status)) AS k, by_status FROM orders_nested)
-SELECT 'o_orderkey' AS path, 'bigint' AS type, count(o_orderkey) AS n_present FROM orders_nested
-UNION ALL SELECT 'closed', 'boolean', count(closed) FROM orders_nested
-UNION ALL SELECT 'day', 'date', count(day) FROM orders_nested
-UNION ALL SELECT 'attrs', 'map<string,string>', count(attrs) FROM orders_nested
-UNION ALL SELECT 'attrs.' || k, 'string', count(*) FROM keys WHERE attrs[k] IS NOT NULL GROUP BY k
-UNION ALL SELECT 'lines.flag', 'string', count(lines) FROM orders_nested
-UNION ALL SELECT 'lines.status', 'string', count(lines) FROM orders_nested
-UNION ALL SELECT 'marks', 'string', count(marks) FROM orders_nested
-UNION ALL SELECT 'by_status', 'map<string,array<string>>', count(by_status) FROM orders_nested
+    CUSTOMER_SQL
+    + """, keys AS (SELECT unnest(map_keys(attrs)) AS k, attrs FROM orders_cust),
+status_keys AS (SELECT unnest(map_keys(by_status)) AS k, by_status FROM orders_cust)
+SELECT 'attrs.' || k AS path, 'string' AS type, count(*) AS n_present FROM keys
+WHERE attrs[k] IS NOT NULL GROUP BY k
 UNION ALL SELECT 'by_status.' || k, 'string', count(*) FROM status_keys GROUP BY k
-UNION ALL SELECT 'detail.priority', 'string', count(detail.priority) FROM orders_nested
-UNION ALL SELECT 'detail.urgent', 'boolean', count(detail.urgent) FROM orders_nested
-UNION ALL SELECT 'detail.flags', 'string', count(detail.flags) FROM orders_nested"""
+UNION ALL SELECT 'lines.flag', 'string', count(lines) FROM orders_cust
+UNION ALL SELECT 'lines.status', 'string', count(lines) FROM orders_cust
+UNION ALL SELECT 'lines.n', 'bigint', count(lines) FROM orders_cust"""
+    + "".join(
+        f" UNION ALL SELECT '{path}', '{kind}', count({path}) FROM orders_cust"
+        for path, kind in PROFILED.items()
+    )
 )
 def profile_paths(spark, sf_dir):
-    columns = ["o_orderkey", "closed", "day", "attrs", "lines", "marks", "by_status", "detail"]
-    return path_profile(nested_orders(spark, sf_dir).select(*columns))
+    return path_profile(nested_orders(spark, sf_dir))
 
 
 @query(
     """WITH keys AS (SELECT unnest(json_keys(props)) AS k FROM events)
 SELECT 'event_id' AS path, 'bigint' AS type, count(event_id) AS n_present FROM events
+UNION ALL SELECT 'ts', 'timestamp_ntz', count(ts) FROM events
+UNION ALL SELECT 'user_id', 'bigint', count(user_id) FROM events
+UNION ALL SELECT 'event_type', 'string', count(event_type) FROM events
+UNION ALL SELECT 'value', 'double', count(value) FROM events
 UNION ALL SELECT 'props', 'map<string,string>', count(props) FROM events
 UNION ALL SELECT 'props.' || k, 'string', count(*) FROM keys GROUP BY k"""
 )
 def profile_json_paths(spark, sf_dir):
-    return path_profile(events_nested(spark, sf_dir).select("event_id", "props"))
+    return path_profile(events_nested(spark, sf_dir))
 
 
 @query(

@@ -101,13 +101,20 @@ def math(spark, sf_dir):
     )
 
 
-@query("SELECT p_partkey, true AS in_range FROM part")
+@query(
+    """SELECT count(*) AS n, true AS in_range, true AS spread, true AS same_seed_same_numbers,
+       true AS other_seed_other_numbers FROM part"""
+)
 def random_number(spark, sf_dir):
-    drawn = F.rand(seed=3)
-    return (
-        table(spark, sf_dir, "part")
-        .withColumn("drawn", drawn)
-        .select("p_partkey", ((col("drawn") >= 0) & (col("drawn") < 1)).alias("in_range"))
+    drawn = table(spark, sf_dir, "part").select(
+        F.rand(seed=3).alias("a"), F.rand(seed=3).alias("b"), F.rand(seed=4).alias("c")
+    )
+    return drawn.agg(
+        F.count("*").alias("n"),
+        F.bool_and((col("a") >= 0) & (col("a") < 1)).alias("in_range"),
+        (F.avg("a").between(0.4, 0.6) & F.stddev("a").between(0.25, 0.33)).alias("spread"),
+        F.bool_and(col("a") == col("b")).alias("same_seed_same_numbers"),
+        (F.count_if(col("a") == col("c")) < F.count("*") / 10).alias("other_seed_other_numbers"),
     )
 
 

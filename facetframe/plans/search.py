@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from facetframe.operators import postings as T
 from facetframe.operators import search as S
+from facetframe.operators.upsert import upsert
 from facetframe.plans.prepared import (
+    ORDER_TERMS,
     doc_postings,
-    nested_docs,
     nested_orders,
     order_postings,
     order_term_counts,
+    searchable_docs,
+    searchable_orders,
 )
 from facetframe.plans.registry import query
-from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL
+from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL, table
+from facetframe.sources.scratch import scratch_path
+from facetframe.sources.tables import read_table, write_table
 
 col = F.col
 KEY = "o_orderkey"
@@ -31,47 +38,72 @@ def _found(rows):
 FOUND = ORDERS_SQL + "SELECT o_orderkey, o_totalprice FROM orders_nested WHERE "
 
 
+def _array_terms(path: str, array: str, keep_null: bool = False) -> str:
+    """SQL for the postings of an array of strings."""
+    field, where = path.split("`")[1], f"FROM orders_nested WHERE {array} IS NOT NULL"
+    rows = [
+        f"SELECT '{field}' AS field, '{path}' AS path, unnest(list_distinct({array})) AS value, "
+        f"CAST(NULL AS DOUBLE) AS num, CAST(NULL AS BIGINT) AS whole, o_orderkey AS key {where}",
+        f"SELECT '_exists', '{path}', NULL, NULL, NULL, o_orderkey {where}",
+    ]
+    if keep_null:
+        rows.append(
+            f"SELECT '_has_null', '{path}', NULL, NULL, NULL, o_orderkey {where} "
+            f"AND len(list_filter({array}, lambda x: x IS NULL)) > 0"
+        )
+    return " UNION ALL ".join(rows)
+
+
+def _value_terms(path: str, value: str, num: str = "NULL", whole: str = "NULL") -> str:
+    field = path.split("`")[1]
+    return (
+        f"SELECT '{field}', '{path}', CAST({value} AS VARCHAR), {num}, {whole}, o_orderkey "
+        f"FROM orders_nested WHERE {value} IS NOT NULL"
+    )
+
+
+POSTINGS_SQL = " UNION ALL ".join(
+    [
+        _array_terms("`flags`", "flags"),
+        _array_terms("`marks`", "marks", keep_null=True),
+        _array_terms("`by_status`.`F`", "by_status['F']"),
+        _array_terms("`by_status`.`O`", "by_status['O']"),
+        _array_terms("`by_status`", "map_keys(by_status)"),
+        _array_terms("`attrs`", "map_keys(attrs)"),
+        _value_terms("`attrs`.`status`", "attrs['status']"),
+        _value_terms("`attrs`.`priority`", "attrs['priority']"),
+        _value_terms("`attrs`.`tier.1`", "attrs['tier.1']"),
+        _value_terms("`detail`.`priority`", "detail.priority"),
+        _value_terms("`closed`", "closed", whole="CAST(closed AS BIGINT)"),
+        _value_terms("`year`", "year", whole="year"),
+        _value_terms("`day`", "day", whole="date_diff('day', DATE '1970-01-01', day)"),
+    ]
+)
+
+
+# Spark and DuckDB write doubles differently, so the text of a price is its number here.
 @query(
     ORDERS_SQL
-    + """, terms AS (
-  SELECT 'flags' AS field, 'flags' AS path, unnest(list_distinct(flags)) AS value, o_orderkey AS key
-  FROM orders_nested
-  UNION ALL
-  SELECT '_exists', 'flags', NULL, o_orderkey FROM orders_nested WHERE flags IS NOT NULL
-  UNION ALL
-  SELECT 'marks', 'marks', unnest(list_distinct(marks)), o_orderkey FROM orders_nested
-  UNION ALL
-  SELECT '_exists', 'marks', NULL, o_orderkey FROM orders_nested WHERE marks IS NOT NULL
-  UNION ALL
-  SELECT '_has_null', 'marks', NULL, o_orderkey FROM orders_nested
-  WHERE len(list_filter(marks, lambda x: x IS NULL)) > 0
-  UNION ALL
-  SELECT 'attrs', 'attrs', unnest(map_keys(attrs)), o_orderkey FROM orders_nested
-  UNION ALL
-  SELECT '_exists', 'attrs', NULL, o_orderkey FROM orders_nested WHERE attrs IS NOT NULL
-  UNION ALL
-  SELECT 'attrs', 'attrs.' || k, attrs[k], o_orderkey
-  FROM (SELECT unnest(map_keys(attrs)) AS k, attrs, o_orderkey FROM orders_nested)
-  WHERE attrs[k] IS NOT NULL
-  UNION ALL
-  SELECT 'year', 'year', CAST(year AS VARCHAR), o_orderkey FROM orders_nested)
-SELECT * FROM terms"""
+    + f""", terms AS ({POSTINGS_SQL})
+SELECT field, path, value, num, whole, key FROM terms
+UNION ALL SELECT 'o_totalprice', '`o_totalprice`', NULL, o_totalprice, NULL, o_orderkey
+FROM orders_nested WHERE o_totalprice IS NOT NULL"""
 )
 def postings_terms(spark, sf_dir):
-    terms = T.postings(nested_orders(spark, sf_dir), KEY, ["flags", "marks", "attrs", "year"])
-    return terms.select("field", "path", "value", "key")
+    terms = T.postings(nested_orders(spark, sf_dir), KEY, ORDER_TERMS)
+    value = F.when(col("field") != "o_totalprice", col("value")).alias("value")
+    return terms.select("field", "path", value, "num", "whole", "key")
 
 
 @query(FOUND + "list_contains(flags, 'R')")
 def lookup_array(spark, sf_dir):
-    return _found(S.lookup(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "flags", "R"))
+    return _found(S.lookup(*searchable_orders(spark, sf_dir), KEY, "flags", "R"))
 
 
 @query(FOUND + "attrs['tier.1'] = 'high'")
 def lookup_map_key(spark, sf_dir):
     return _found(
-        S.lookup(
-            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`", "high"
+        S.lookup(*searchable_orders(spark, sf_dir), KEY, "attrs.`tier.1`", "high"
         )
     )
 
@@ -79,27 +111,26 @@ def lookup_map_key(spark, sf_dir):
 @query(FOUND + "list_contains(map_keys(attrs), 'tier.1')")
 def lookup_has_key(spark, sf_dir):
     return _found(
-        S.lookup(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs", "tier.1")
+        S.lookup(*searchable_orders(spark, sf_dir), KEY, "attrs", "tier.1")
     )
 
 
 @query(FOUND + "day = DATE '1996-02-29' AND list_contains(flags, 'A')")
 def lookup_few_rows(spark, sf_dir):
     terms = [("day", date(1996, 2, 29)), ("flags", "A")]
-    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    orders, found = searchable_orders(spark, sf_dir)
     return _found(S.lookup_all(orders, found, KEY, terms))
 
 
 @query(FOUND + "list_contains(by_status['O'], 'N')")
-def lookup_beyond_limit(spark, sf_dir):
-    orders, terms = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
-    return _found(S.lookup(orders, terms, KEY, "by_status.O", "N", limit=1024))
+def lookup_frequent(spark, sf_dir):
+    orders, terms = searchable_orders(spark, sf_dir)
+    return _found(S.lookup(orders, terms, KEY, "by_status.O", "N"))
 
 
 @query(DOCS_SQL + "SELECT doc_id, n_chars FROM docs_nested WHERE list_contains(words, 'the')")
 def lookup_word(spark, sf_dir):
-    found = S.lookup(
-        nested_docs(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "the"
+    found = S.lookup(*searchable_docs(spark, sf_dir), "doc_id", "words", "the"
     )
     return found.select("doc_id", "n_chars")
 
@@ -117,14 +148,15 @@ def lookup_all_terms(spark, sf_dir):
         ("closed", True),
         ("year", 1997),
     ]
-    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
-    return _found(S.lookup_all(orders, found, KEY, terms))
+    orders, found = searchable_orders(spark, sf_dir)
+    counts = T.term_counts(found)
+    return _found(S.lookup_all(orders, found, KEY, terms, counts=counts))
 
 
 @query(FOUND + "attrs['priority'] = '1-URGENT' OR list_contains(by_status['F'], 'N') OR year = 1995")
 def lookup_any_term(spark, sf_dir):
     terms = [("attrs.priority", "1-URGENT"), ("by_status.F", "N"), ("year", 1995)]
-    orders, found = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    orders, found = searchable_orders(spark, sf_dir)
     return _found(S.lookup_any(orders, found, KEY, terms))
 
 
@@ -135,14 +167,14 @@ def lookup_any_term(spark, sf_dir):
 )
 def lookup_not_term(spark, sf_dir):
     return _found(
-        S.lookup_not(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "marks", "R")
+        S.lookup_not(*searchable_orders(spark, sf_dir), KEY, "marks", "R")
     )
 
 
 @query(FOUND + "attrs['status'] <> 'O'")
 def lookup_not_map_key(spark, sf_dir):
     return _found(
-        S.lookup_not(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.status", "O")
+        S.lookup_not(*searchable_orders(spark, sf_dir), KEY, "attrs.status", "O")
     )
 
 
@@ -154,12 +186,12 @@ UNION ALL SELECT 'closed', count(closed) FROM orders_nested
 UNION ALL SELECT 'status O', count(*) FROM orders_nested WHERE attrs['status'] = 'O'"""
 )
 def count_by_postings(spark, sf_dir):
-    orders, terms = nested_orders(spark, sf_dir), order_postings(spark, sf_dir)
+    orders, terms = searchable_orders(spark, sf_dir)
     found = {
-        "tier": S.existing_keys(orders, terms, "attrs.`tier.1`"),
-        "flags": S.existing_keys(orders, terms, "flags"),
-        "closed": S.existing_keys(orders, terms, "closed"),
-        "status O": S.lookup_keys(orders, terms, "attrs.status", "O"),
+        "tier": S.existing_keys(terms, "attrs.`tier.1`"),
+        "flags": S.existing_keys(terms, "flags"),
+        "closed": S.existing_keys(terms, "closed"),
+        "status O": S.lookup_keys(terms, "attrs.status", "O"),
     }
     counts = [k.agg(F.lit(p).alias("path"), F.count("*").alias("n")) for p, k in found.items()]
     return reduce(DataFrame.unionByName, counts)
@@ -168,14 +200,14 @@ def count_by_postings(spark, sf_dir):
 @query(FOUND + "attrs['tier.1'] IS NOT NULL")
 def lookup_exists(spark, sf_dir):
     return _found(
-        S.exists(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
+        S.exists(*searchable_orders(spark, sf_dir), KEY, "attrs.`tier.1`")
     )
 
 
 @query(FOUND + "attrs['tier.1'] IS NULL")
 def lookup_missing(spark, sf_dir):
     return _found(
-        S.missing(nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.`tier.1`")
+        S.missing(*searchable_orders(spark, sf_dir), KEY, "attrs.`tier.1`")
     )
 
 
@@ -221,8 +253,7 @@ def facet_map_key_by_postings(spark, sf_dir):
 WHERE len(list_filter(words, lambda w: starts_with(w, 'thr'))) > 0"""
 )
 def lookup_by_prefix(spark, sf_dir):
-    found = S.lookup_prefix(
-        nested_docs(spark, sf_dir), doc_postings(spark, sf_dir), "doc_id", "words", "thr"
+    found = S.lookup_prefix(*searchable_docs(spark, sf_dir), "doc_id", "words", "thr"
     )
     return found.select("doc_id", "n_chars")
 
@@ -230,8 +261,7 @@ def lookup_by_prefix(spark, sf_dir):
 @query(FOUND + "attrs['priority'] >= '2' AND attrs['priority'] <= '4'")
 def lookup_string_range(spark, sf_dir):
     return _found(
-        S.lookup_range(
-            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "attrs.priority", "2", "4"
+        S.lookup_range(*searchable_orders(spark, sf_dir), KEY, "attrs.priority", "2", "4"
         )
     )
 
@@ -239,8 +269,7 @@ def lookup_string_range(spark, sf_dir):
 @query(FOUND + "o_totalprice BETWEEN 9000 AND 100000.5")
 def lookup_number_range(spark, sf_dir):
     return _found(
-        S.lookup_range(
-            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "o_totalprice", 9000, 100000.5
+        S.lookup_range(*searchable_orders(spark, sf_dir), KEY, "o_totalprice", 9000, 100000.5
         )
     )
 
@@ -248,7 +277,94 @@ def lookup_number_range(spark, sf_dir):
 @query(FOUND + "day >= DATE '1999-02-28'")
 def lookup_date_range(spark, sf_dir):
     return _found(
-        S.lookup_range(
-            nested_orders(spark, sf_dir), order_postings(spark, sf_dir), KEY, "day", date(1999, 2, 28)
+        S.lookup_range(*searchable_orders(spark, sf_dir), KEY, "day", date(1999, 2, 28)
         )
     )
+
+
+@query(FOUND + "year >= 1996.5 AND year <= 1998.5")
+def lookup_fraction_bound(spark, sf_dir):
+    return _found(
+        S.lookup_range(*searchable_orders(spark, sf_dir), KEY, "year", 1996.5, 1998.5)
+    )
+
+
+def _priced(spark, sf_dir):
+    """Orders with a decimal price and a single-precision number, and their postings."""
+    orders = table(spark, sf_dir, "orders").select(
+        KEY,
+        F.round("o_totalprice", 2).cast("decimal(12,2)").alias("price"),
+        (col("o_custkey") / 3).cast("float").alias("third"),
+    )
+    path = scratch_path(spark, "priced_orders")
+    write_table(orders, path)
+    base = read_table(spark, path)
+    terms = scratch_path(spark, "priced_postings")
+    T.write_postings(T.postings(base, KEY, ["price", "third"]), terms)
+    return base, T.read_postings(spark, terms)
+
+
+@query(
+    """SELECT o_orderkey FROM orders
+WHERE CAST(round(o_totalprice, 2) AS DECIMAL(12, 2)) BETWEEN 9000.25 AND 100000"""
+)
+def lookup_decimal_range(spark, sf_dir):
+    bounds = (Decimal("9000.25"), 100000)
+    return S.lookup_range(*_priced(spark, sf_dir), KEY, "price", *bounds).select(KEY)
+
+
+# 7 / 3 in single precision, as a double: only the widened value is equal to it.
+@query(
+    """SELECT o_orderkey FROM orders
+WHERE CAST(CAST(o_custkey / 3 AS FLOAT) AS DOUBLE) = 2.3333332538604736"""
+)
+def lookup_float_exact(spark, sf_dir):
+    return S.lookup(*_priced(spark, sf_dir), KEY, "third", 2.3333332538604736).select(KEY)
+
+
+@query(
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS value, count(*) AS n FROM orders
+GROUP BY ALL"""
+)
+def facet_numbers_by_postings(spark, sf_dir):
+    return T.facet_from_postings(order_postings(spark, sf_dir), "year")
+
+
+@query(FOUND + "list_contains(flags, 'R') AND attrs['status'] = 'F'")
+def lookup_join_bucketed(spark, sf_dir):
+    name = f"searchable_{uuid4().hex}"
+    place = scratch_path(spark, "bucketed")
+    T.save_searchable(nested_orders(spark, sf_dir), name, place, KEY, ["flags", "attrs"], 8)
+    terms = [("flags", "R"), ("attrs.status", "F")]
+    both = spark.table(name), spark.table(f"{name}_postings")
+    return _found(S.lookup_all(*both, KEY, terms))
+
+
+@query(FOUND + "list_contains(flags, 'A') AND attrs['status'] = 'F'")
+def lookup_after_append(spark, sf_dir):
+    orders = nested_orders(spark, sf_dir)
+    first = col("o_orderkey") % 3 == 0
+    path, terms = scratch_path(spark, "grown"), scratch_path(spark, "grown_postings")
+    write_table(orders.filter(first), path)
+    T.write_postings(T.postings(read_table(spark, path), KEY, ["flags", "attrs"]), terms)
+    T.append_rows(orders.filter(~first), path, terms, KEY)
+    wanted = [("flags", "A"), ("attrs.status", "F")]
+    found = S.lookup_all(read_table(spark, path), T.read_postings(spark, terms), KEY, wanted)
+    return _found(found)
+
+
+@query(
+    FOUND
+    + """CASE WHEN o_orderkey % 5 = 0 THEN 'upserted' ELSE attrs['status'] END = 'upserted'
+UNION ALL SELECT o_orderkey, o_totalprice FROM orders_nested
+WHERE o_orderkey % 5 <> 0 AND attrs['status'] = 'F'"""
+)
+def lookup_after_upsert(spark, sf_dir):
+    orders, terms = searchable_orders(spark, sf_dir)
+    changed = orders.filter(col(KEY) % 5 == 0).withColumn(
+        "attrs", F.create_map(F.lit("status"), F.lit("upserted"))
+    )
+    table_now = upsert(orders, changed, KEY)
+    terms_now = T.upserted_postings(terms, changed, KEY)
+    wanted = [("attrs.status", "upserted"), ("attrs.status", "F")]
+    return _found(S.lookup_any(table_now, terms_now, KEY, wanted))

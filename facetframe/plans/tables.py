@@ -6,9 +6,21 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from facetframe.functions.paths import path_column, promoted_columns, quoted, without_promoted
+from facetframe.functions.paths import (
+    identity,
+    path_column,
+    promoted_columns,
+    quoted,
+    without_promoted,
+)
+from facetframe.functions.predicates import contains_value
 from facetframe.operators.upsert import upsert
-from facetframe.plans.prepared import nested_orders, orders_by_year_path, orders_path
+from facetframe.plans.prepared import (
+    nested_orders,
+    orders_by_year_path,
+    orders_path,
+    stored_orders,
+)
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, orders_nested, table
 from facetframe.sources.scratch import scratch_path
@@ -39,7 +51,7 @@ def table_write(spark, sf_dir):
         bloom=["attrs.status"],
     )
     raw = spark.read.parquet(path)
-    shadow = promoted_columns(raw)["attrs.status"]
+    shadow = promoted_columns(raw)[identity("attrs.status")]
     return raw.select(
         "o_orderkey", attrs_text().alias("attrs"), col(quoted(shadow)).alias("status")
     )
@@ -52,7 +64,7 @@ def table_write(spark, sf_dir):
   array_to_string(by_status['F'], '|') AS on_f, detail.urgent AS urgent FROM orders_nested"""
 )
 def table_read(spark, sf_dir):
-    return without_promoted(nested_orders(spark, sf_dir)).select(
+    return without_promoted(stored_orders(spark, sf_dir)).select(
         "o_orderkey",
         col("day").cast("string").alias("day"),
         attrs_text().alias("attrs"),
@@ -66,7 +78,7 @@ def table_read(spark, sf_dir):
     ORDERS_SQL
     + """SELECT 'bigint' AS orderkey, 'double' AS price, 'date' AS day, 'timestamp_ntz' AS placed,
        'boolean' AS closed, 'map<string,string>' AS attrs,
-       'array<struct<flag:string,status:string>>' AS lines, 'array<string>' AS flags,
+       'array<struct<flag:string,status:string,n:bigint>>' AS lines, 'array<string>' AS flags,
        'map<string,array<string>>' AS by_status,
        'struct<priority:string,urgent:boolean,flags:array<string>>' AS detail, count(*) AS n
 FROM orders_nested"""
@@ -79,7 +91,7 @@ def table_schema(spark, sf_dir):
     }
     types = [F.typeof(c).alias(n) for n, c in names.items()]
     return (
-        nested_orders(spark, sf_dir)
+        stored_orders(spark, sf_dir)
         .select(*types)
         .groupBy(*names)
         .agg(F.count("*").alias("n"))
@@ -155,7 +167,7 @@ WHERE attrs['status'] = 'F' AND day > DATE '1997-05-29' AND list_contains(flags,
 def table_sql_ddl(spark, sf_dir):
     orders = nested_orders(spark, sf_dir).select("o_orderkey", "day", "attrs", "flags")
     name, path = f"orders_{uuid4().hex}", scratch_path(spark, "created")
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema.fields)
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in orders.schema.fields)
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
     orders.write.insertInto(name)
     spark.sql(f"DROP TABLE {name}")
@@ -172,9 +184,11 @@ def table_sql_ddl(spark, sf_dir):
 def table_temp_view(spark, sf_dir):
     view = f"orders_{uuid4().hex}"
     nested_orders(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(
+    found = spark.sql(
         f"SELECT attrs.status AS status, count(*) AS n FROM {view} GROUP BY attrs.status"
     )
+    spark.catalog.dropTempView(view)  # the plan holds what it needs
+    return found
 
 
 @query(
@@ -184,7 +198,7 @@ FROM orders_nested"""
 )
 def table_append(spark, sf_dir):
     path = scratch_path(spark, "appended")
-    orders = without_promoted(nested_orders(spark, sf_dir))
+    orders = nested_orders(spark, sf_dir)
     write_table(orders.filter(col("o_orderstatus") == "F"), path)
     write_table(orders.filter(col("o_orderstatus") != "F"), path, mode="append")
     return read_table(spark, path).select(
@@ -194,19 +208,31 @@ def table_append(spark, sf_dir):
 
 @query(
     ORDERS_SQL
-    + """, files AS (SELECT CAST(3 AS BIGINT) AS files)
-SELECT attrs['priority'] AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total,
-       any_value(files) AS files FROM orders_nested, files GROUP BY attrs['priority']"""
+    + """SELECT attrs['priority'] AS priority, count(*) AS n, round(sum(o_totalprice), 2) AS total,
+       true AS fewer_files, true AS pruned FROM orders_nested WHERE year = 1997
+GROUP BY attrs['priority']"""
 )
 def table_compact(spark, sf_dir):
     path = scratch_path(spark, "compacted")
-    compact(spark, orders_by_year_path(spark, sf_dir), path, 3, sort_by=["o_totalprice"])
-    compacted = read_table(spark, path)
-    files = compacted.select(F.input_file_name().alias("file")).agg(F.count_distinct("file"))
+    # The source has files of its own for each of two appended halves.
+    orders = nested_orders(spark, sf_dir)
+    parts = scratch_path(spark, "fragments")
+    for rest in (0, 1):
+        half = orders.filter(col("o_orderkey") % 2 == rest)
+        write_table(half, parts, mode="append", partition_by=["year"])
+    compact(spark, parts, path, 3, sort_by=["o_totalprice"])
+    compacted = read_table(spark, path).filter("year = 1997")
+    fewer = len(read_table(spark, path).inputFiles()) < len(read_table(spark, parts).inputFiles())
+    in_year = F.input_file_name().contains("/year=1997/")
     return (
-        compacted.groupBy(col("attrs.priority").alias("priority"))
-        .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
-        .withColumn("files", files.scalar())
+        compacted.withColumn("in_year", in_year)
+        .groupBy(col("attrs.priority").alias("priority"))
+        .agg(
+            F.count("*").alias("n"),
+            F.round(F.sum("o_totalprice"), 2).alias("total"),
+            F.bool_and("in_year").alias("pruned"),
+        )
+        .withColumn("fewer_files", F.lit(fewer))
     )
 
 
@@ -230,6 +256,43 @@ def table_upsert(spark, sf_dir):
     return upsert(orders, updates, "o_orderkey")
 
 
+@query(
+    ORDERS_SQL
+    + """SELECT o_orderkey, o_totalprice FROM orders_nested
+WHERE (list_contains(flags, 'R')) IS DISTINCT FROM true
+UNION ALL SELECT -o_orderkey, o_totalprice FROM orders_nested WHERE o_orderstatus = 'P'"""
+)
+def table_upsert_term(spark, sf_dir):
+    orders = nested_orders(spark, sf_dir)
+    updates = orders.filter("o_orderstatus = 'P'").withColumn("o_orderkey", -col("o_orderkey"))
+    upserted = upsert(orders, updates, matching=contains_value("flags", "R"))
+    return upserted.select("o_orderkey", "o_totalprice")
+
+
+@query(
+    """SELECT via, o_orderstatus, count(*) AS n FROM orders,
+  (SELECT unnest(['path', 'table']) AS via) GROUP BY ALL"""
+)
+def table_refresh_path(spark, sf_dir):
+    path, name = scratch_path(spark, "refreshed_path"), f"orders_{uuid4().hex}"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    first = col("o_orderstatus") == "F"
+    write_table(orders.filter(first), path)
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.table(name).count()
+    write_table(orders.filter(~first), path, mode="append")
+    spark.catalog.refreshByPath(path)
+    spark.sql(f"REFRESH TABLE {name}")
+
+    def counted(df, via):
+        counts = df.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+        return counts.select(F.lit(via).alias("via"), "o_orderstatus", "n")
+
+    found = counted(read_table(spark, path), "path").unionByName(counted(spark.table(name), "table"))
+    spark.sql(f"DROP TABLE {name}")
+    return found
+
+
 @query("SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
 def table_refresh(spark, sf_dir):
     path = scratch_path(spark, "refreshed")
@@ -239,7 +302,9 @@ def table_refresh(spark, sf_dir):
     spark.read.parquet(path).createOrReplaceTempView(name)
     write_table(orders.filter(col("o_orderstatus") != "F"), path, mode="append")
     spark.catalog.refreshTable(name)
-    return spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {name} GROUP BY o_orderstatus")
+    found = spark.sql(f"SELECT o_orderstatus, count(*) AS n FROM {name} GROUP BY o_orderstatus")
+    spark.catalog.dropTempView(name)
+    return found
 
 
 @query(
@@ -272,7 +337,7 @@ def table_several_paths(spark, sf_dir):
 FROM orders_nested WHERE attrs['status'] = 'F' AND attrs['tier.1'] IS NOT NULL"""
 )
 def promoted_filter(spark, sf_dir):
-    orders = nested_orders(spark, sf_dir)
+    orders = stored_orders(spark, sf_dir)
     status, tier = path_column(orders, "attrs.status"), path_column(orders, "attrs.`tier.1`")
     return orders.filter((status == "F") & tier.isNotNull()).select(
         "o_orderkey", status.alias("status"), tier.alias("tier")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from facetframe.functions.predicates import words
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,24 +31,21 @@ def _attrs() -> Column:
 def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with a map, arrays, a map of arrays and structs.
 
-    ``lines`` holds the distinct (flag, status) pairs of the order's line items. Their number is
-    bounded by the two code lists, and the pairs are combined before the shuffle, so an order
-    with very many line items costs a task no more than any other. ``cust`` is null where there is
-    no such customer.
+    ``lines`` holds the (flag, status) pairs of the order's line items with their number ``n``, so
+    no line item is lost. The number of pairs is bounded by the two code lists, and they are counted
+    before the shuffle, so an order with very many line items costs a task no more than any other.
+    ``flags`` has one entry per pair. ``cust`` is null where there is no such customer.
     """
     pairs = (
         table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.sort_array(
-                F.collect_set(
-                    F.struct(
-                        F.col("l_returnflag").alias("flag"),
-                        F.col("l_linestatus").alias("status"),
-                    )
-                )
-            ).alias("lines")
+        .groupBy(
+            "l_orderkey",
+            F.col("l_returnflag").alias("flag"),
+            F.col("l_linestatus").alias("status"),
         )
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(F.struct("flag", "status", "n"))).alias("lines"))
     )
     flags = F.col("lines.flag")
 
@@ -92,9 +91,10 @@ def orders_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORDERS_SQL = """
 WITH pairs AS (
-  SELECT DISTINCT l_orderkey, l_returnflag AS flag, l_linestatus AS status FROM lineitem),
+  SELECT l_orderkey, l_returnflag AS flag, l_linestatus AS status, count(*) AS n FROM lineitem
+  GROUP BY ALL),
 line_lists AS (
-  SELECT l_orderkey, list({'flag': flag, 'status': status} ORDER BY flag, status) AS lines,
+  SELECT l_orderkey, list({'flag': flag, 'status': status, 'n': n} ORDER BY flag, status) AS lines,
          list(flag ORDER BY flag, status) AS flags,
          list(CASE WHEN flag <> 'N' THEN flag END ORDER BY flag, status) AS marks,
          coalesce(list(flag ORDER BY flag) FILTER (WHERE status = 'F'), []) AS flags_f,
@@ -138,10 +138,10 @@ def events_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as the words a-z of their whole text, with a map of their labels."""
+    """Documents as the words of their whole text, with a map of their labels."""
     return table(spark, sf_dir, "documents").select(
         "doc_id",
-        F.array_remove(F.split(F.lower("text"), "[^a-z]+"), "").alias("words"),
+        words("text").alias("words"),
         F.create_map(F.lit("lang"), F.col("lang"), F.lit("source"), F.col("source")).alias("meta"),
         "n_chars",
     )
@@ -150,7 +150,7 @@ def docs_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 DOCS_SQL = """
 WITH docs_nested AS (
   SELECT doc_id,
-         list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda w: w <> '') AS words,
+         list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda w: w <> '') AS words,
          map {'lang': lang, 'source': source} AS meta, n_chars
   FROM documents)
 """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from facetframe.functions import paths as P
 def _shadows(df: DataFrame, paths: Iterable[str]) -> list[str]:
     """Top-level columns for paths: their shadow columns, or the columns themselves."""
     known = P.promoted_columns(df)
-    return [known.get(P.plain(p), P.plain(p)) for p in paths]
+    return [known.get(P.identity(p)) or P.steps(p)[0] for p in paths]
 
 
 def _writer(df: DataFrame, mode: str, bloom: Iterable[str]) -> DataFrameWriter:
@@ -38,13 +40,14 @@ def write_table(
 
     ``promote`` adds shadow columns for map keys and struct fields, ``sort_by`` (paths) orders the
     rows within each task for tight row-group statistics, ``bloom`` (paths) adds bloom filters.
+    Nested paths to sort by or to filter are promoted as well, since Parquet needs them on top.
     Unpartitioned output is written where the rows are, without a shuffle. With ``partition_by``
     the rows are rebalanced first: small partitions share files no more, and a partition holding
     much of the data is split over many tasks by adaptive execution.
     """
-    table = P.promote(df, promote)
+    table = P.promote(df, [*promote, *(p for p in [*sort_by, *bloom] if len(P.steps(p)) > 1)])
     if partition_by:
-        table = table.hint("rebalance", *partition_by)
+        table = table.hint("rebalance", *map(P.quoted, partition_by))
     if sort_by:
         order = [F.col(P.quoted(c)) for c in [*partition_by, *_shadows(table, sort_by)]]
         table = table.sortWithinPartitions(*order)
@@ -59,6 +62,18 @@ def read_table(
     return reader.parquet(*([path] if isinstance(path, str) else path))
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a table is partitioned by, from the folders between its root and its files."""
+    files = spark.read.parquet(path).inputFiles()
+    if not files:
+        return []
+    folders = unquote(files[0]).rstrip("/").split("/")[:-1]
+    found = []
+    while folders and re.match(r"[^=]+=", folders[-1]):
+        found.insert(0, folders.pop().split("=", 1)[0])
+    return found
+
+
 def compact(
     spark: SparkSession,
     src: str,
@@ -66,20 +81,26 @@ def compact(
     files: int,
     sort_by: Sequence[str] = (),
     *,
+    partition_by: Sequence[str] | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """Rewrite the table at ``src`` into ``files`` files at ``dst``, keeping every row.
+    """Rewrite the table at ``src`` into fewer files at ``dst``, keeping every row.
 
-    The rows are range-partitioned by ``sort_by`` and, within equal values, by their position in
-    the source, so neither a frequent value nor many equal copies end up in one task.
+    Unpartitioned rows go into ``files`` files, range-partitioned by ``sort_by`` and, within equal
+    values, by their position in the source, so neither a frequent value nor many equal copies end
+    up in one task. A partitioned table (``partition_by``, by default as the source is) keeps its
+    layout: its rows are ranged by partition first, so a partition gets files by its share of rows.
     """
     if files < 1:
         raise ValueError("files must be at least 1")
     table = read_table(spark, src)
+    if partition_by is None:
+        partition_by = partition_columns(spark, src)
     columns = [P.quoted(c) for c in table.columns]
-    order = [F.col(P.quoted(c)) for c in _shadows(table, sort_by)]
+    layout = [F.col(P.quoted(c)) for c in partition_by]
+    order = [*layout, *(F.col(P.quoted(c)) for c in _shadows(table, sort_by))]
     placed = table.withColumn("__position", F.monotonically_increasing_id())
     ranged = placed.repartitionByRange(files, *order, "__position")
     if order:
         ranged = ranged.sortWithinPartitions(*order)
-    ranged.select(*columns).write.mode(mode).parquet(dst)
+    ranged.select(*columns).write.mode(mode).partitionBy(*partition_by).parquet(dst)

@@ -32,14 +32,14 @@ def path(tmp_path):
 
 
 @pytest.fixture(scope="session")
-def trips(spark):
-    from samples import trips
+def books(spark):
+    from tables import books
 
-    return trips(spark).cache()
+    return books(spark).cache()
 
 
 @pytest.fixture(scope="session")
 def edges(spark):
-    from samples import edges
+    from tables import edges
 
     return edges(spark).cache()

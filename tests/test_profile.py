@@ -1,34 +1,29 @@
 from facetframe import path_profile
-from samples import buckets
-
-
-def test_profile_of_every_shape(trips):
-    got = {r.path: (r.type, r.n_present) for r in path_profile(trips).collect()}
-    assert got == {
-        "id": ("string", 5),
-        "closed": ("boolean", 5),
-        "day": ("date", 5),
-        "start": ("timestamp", 5),
-        "title": ("string", 5),
-        "seats": ("int", 1),
-        "budget": ("bigint", 1),
-        "weight": ("float", 4),
-        "cost": ("double", 2),
-        "legs": ("string", 5),
-        "tags": ("map<string,string>", 4),
-        "tags.kind": ("string", 3),
-        "tags.v.1": ("string", 2),
-        "tags.v.2": ("string", 1),
-        "tags.ok": ("string", 1),
-        "crew": ("map<string,array<string>>", 4),
-        "crew.bus": ("string", 3),
-        "lead.name": ("string", 5),
-        "lead.age": ("int", 5),
-        "lead.langs": ("string", 4),
-        "stops.town": ("string", 2),
-        "stops.nights": ("int", 3),
-        "day_id": ("int", 5),
-    }
+from tables import at, buckets
+
+
+def test_profile_agrees_with_a_loop(books):
+    got = {r.path: (r.type, r.n_present) for r in path_profile(books).collect()}
+    rows = books.collect()
+    types = {"isbn": "bigint", "price": "decimal(8,2)", "seen": "timestamp", "lent": "boolean"}
+    for name, kind in types.items():
+        assert got[name] == (kind, sum(r[name] is not None for r in rows))
+
+    def some(*steps):
+        def present(value):
+            return any(v is not None for v in value) if isinstance(value, list) else value is not None
+
+        return sum(present(at(r, *steps)) for r in rows)
+
+    assert got["author.born"] == ("int", some("author", "born"))
+    assert got["author.tongues"][1] == sum(at(r, "author", "tongues") is not None for r in rows)
+    assert got["chapters.head"] == ("string", some("chapters", "head"))
+    assert got["chapters.sheets"] == ("int", some("chapters", "sheets"))
+    keys = {k for r in rows for k in (r.notes or {})}
+    for key in keys:
+        assert got[f"notes.{key}"] == ("string", sum((r.notes or {}).get(key) is not None for r in rows))
+    assert got["copies.hall"][1] == some("copies", "hall")
+    assert "copies" in got and "author" not in got and len(got) == 18 + len(keys) + 3
 
 
 def test_null_values_are_not_present(edges):
