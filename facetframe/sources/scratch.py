@@ -46,9 +46,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows written as Parquet in the shared folder and read back: the lineage ends there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
