@@ -73,7 +73,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 counts.update(tokens(text))
-            if len(counts) > 1_000_000:
+            if len(counts) > 400_000:
                 yield from emitted(counts)
                 counts = Counter()
         yield from emitted(counts)
@@ -95,6 +95,26 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return partial.groupBy("word", "ending").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words above a count that at most ``most`` words reach, with their counts.
+
+    The count is found from the numbers of words in steps of a sixteenth of a power of two, so the
+    tasks send no candidates.
+    """
+    step = F.floor(F.log2("c") * 16).alias("step")
+    at_step = counts.groupBy(step).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step"))
+    reached, least = 0, None
+    for row in at_step.collect():
+        reached += row["n"]
+        if reached > most:
+            break
+        least = row["step"]
+    if least is None:
+        return {}
+    found = counts.filter(F.floor(F.log2("c") * 16) >= least).select("word", "c").toPandas()
+    return {bytes(w): c for w, c in zip(found["word"], found["c"].tolist())}
+
+
 def class_pairs(texts: DataFrame, classes: Classes) -> np.ndarray:
     """How often each class follows each class in all texts; an end stands before a text."""
     size = len(classes) + ENDINGS
@@ -179,28 +199,24 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
     counts = stored(word_counts(training), "word_counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     # Fixed numbers of rows are collected: the frequent words, and sums for the endings.
-    by_times = [F.col("c").desc(), F.col("word")]
-    frequent = counts.orderBy(*by_times).limit(KNOWN_WORDS).select("word", "c").toPandas()
-    words = [bytes(w) for w in frequent["word"]]
-    shortlist = words[:SHORTLIST]
-    if words and END not in shortlist:
-        shortlist = [*shortlist[: SHORTLIST - 1], END]
-    classes = Classes({w: i for i, w in enumerate(shortlist or [END])})
-    listed = set(shortlist)
+    times = frequent_words(counts, KNOWN_WORDS)
+    ends = counts.filter(F.col("word") == F.lit(END)).select("c").first()
+    times[END] = ends["c"] if ends else 0
+    shortlist = sorted(times, key=lambda w: (w != END, -times[w], w))[:SHORTLIST]
+    classes = Classes({w: i for i, w in enumerate(shortlist)})
     ending_n, ending_v = np.zeros(ENDINGS), np.zeros(ENDINGS)
     for row in counts.groupBy("ending").agg(F.sum("c"), F.count(F.lit(1))).collect():
         ending_n[row[0]], ending_v[row[0]] = row[1], row[2]
-    times = dict(zip(words, frequent["c"].tolist()))
-    for w in listed:
-        if w in times:
-            ending_n[ending(w)] -= times[w]
-            ending_v[ending(w)] -= 1
+    for w in shortlist:
+        ending_n[ending(w)] -= times[w]
+        ending_v[ending(w)] -= times[w] > 0
     table = log10_probabilities(train(class_pairs(training, classes))).astype(np.float32)
 
     spark = docs.sparkSession
     size = len(table)
     rest = np.log10(ending_n + SMOOTHING * (ending_v + 1))
     all_words = np.log10(n + SMOOTHING * (v + 1))
+    unseen_ends = int(times[END] == 0)  # without training texts
     given = spark.sparkContext.broadcast(
         {
             "classes": classes,
@@ -233,7 +249,7 @@ def score_texts(docs: DataFrame, training: DataFrame) -> DataFrame:
                         (
                             uid,
                             len(found),
-                            len(own),
+                            len(own) - unseen_ends,
                             float(some),
                             float(score),
                             [{"word": w, "m": m} for w, m in rare.items()],
