@@ -31,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated and nearly repeated lines leave the texts; documents left without text go."""
-    cleaned = lines.without_repeated_lines(docs, edits=2, min_chars=40)
+    cleaned = lines.without_repeated_lines(docs, edits=2, min_chars=40, exact_chars=1)
     cleaned = cleaned.filter(F.col("text").isNull() | (F.trim("text") != ""))
     if "n_chars" not in docs.columns:
         return cleaned

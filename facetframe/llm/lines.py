@@ -1,8 +1,9 @@
 """Removal of repeated and nearly repeated lines by a segment-partition edit join.
 
-Lines of at least ``MIN_CHARS`` characters take part. Two lines are linked where their edit distance
-is at most ``edits``. Of equal lines the first by document and line stays; a line linked with
-another that comes first elsewhere goes, with all its copies. Shorter lines always stay.
+Equal lines of at least ``exact_chars`` characters (``min_chars`` where it is not given) are grouped:
+the first by document and line stays. Two lines of at least ``min_chars`` characters are linked where
+their edit distance is at most ``edits``; a line linked with another that comes first elsewhere goes,
+with all its copies. Lines below both bounds always stay.
 
 A line is split into ``edits`` + 1 segments; a linked line must hold one of them unchanged at a
 place that the lengths and the segment's number allow, so the segments are an index and the
@@ -177,7 +178,7 @@ def _may_be_linked(a: Column, b: Column, edits: int) -> Column:
     return ((longer != 0) | (a < b)) & (differ + longer <= 2 * edits)
 
 
-def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
+def _occurrences(docs: DataFrame, least_chars: int) -> DataFrame:
     """``doc``, ``number`` and ``line`` of every line that is long enough."""
     return (
         docs.filter(F.col("text").isNotNull())
@@ -185,7 +186,7 @@ def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
             F.col("doc_id").cast("long").alias("doc"),
             F.posexplode(F.split("text", "\n", -1)).alias("number", "line"),
         )
-        .filter(F.length("line") >= min_chars)
+        .filter(F.length("line") >= least_chars)
     )
 
 
@@ -195,13 +196,19 @@ def _order(doc: Column, number: Column) -> Column:
     return (whole * F.lit(1 << 31).cast("decimal(11,0)") + number).cast("decimal(38,0)")
 
 
-def line_links(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame, DataFrame]:
+def _least_chars(min_chars: int, exact_chars: int | None) -> int:
+    return min_chars if exact_chars is None else min(exact_chars, min_chars)
+
+
+def line_links(
+    docs: DataFrame, edits: int, min_chars: int, exact_chars: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The distinct lines (``line``, ``first``, ``n``, ``chars``, ``id``) and the links between them.
     """
     if not 0 < edits <= 3 or min_chars <= 2 * edits:
         raise ValueError("1 to 3 edits, and lines of more than twice as many characters")
     lines = (
-        _occurrences(docs, min_chars)
+        _occurrences(docs, _least_chars(min_chars, exact_chars))
         .withColumn("at", _order(F.col("doc"), F.col("number")))
         .groupBy("line")
         .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
@@ -211,10 +218,11 @@ def line_links(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame,
     )
     # The largest table of the operator: texts take a third less room than by the default codec.
     lines = stored(lines, "distinct_lines", compression="zstd")
-    index = lines.select(
+    long = lines.filter(F.col("chars") >= min_chars)
+    index = long.select(
         F.col("id").alias("a"), F.explode(_keys(edits, range(1), lambda *_: [0])).alias("key")
     )
-    probes = lines.select(
+    probes = long.select(
         F.col("id").alias("b"),
         F.explode(_keys(edits, range(edits + 1), _probe_offsets(edits))).alias("key"),
     )
@@ -228,7 +236,7 @@ def line_links(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame,
     slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_SLOTS)).alias("slot")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     wanted = (
-        lines.withColumn("slot", slot)
+        long.withColumn("slot", slot)
         .join(F.broadcast(ids.select(slot).distinct()), "slot", "left_semi")
         .select("id", "line", "first", "chars")
     )
@@ -244,13 +252,18 @@ def line_links(docs: DataFrame, edits: int, min_chars: int) -> tuple[DataFrame,
     return lines, stored(links, "line_links")
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_report(
+    docs: DataFrame,
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    exact_chars: int | None = None,
+) -> DataFrame:
     """Per document id with a repeated or linked line: ``doc``, ``dropped`` (sorted line numbers from
     0), ``n_links``.
 
     ``n_links`` counts, over the document's lines, the different lines that each is linked with.
     """
-    lines, links = line_links(docs, edits, min_chars)
+    lines, links = line_links(docs, edits, min_chars, exact_chars)
     ways = links.unionByName(
         links.select(
             F.col("line_b").alias("line_a"),
@@ -273,7 +286,7 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
         .drop("n")
     )
     # Equal lines are known by 96 bits of hashes, so that their text is not shuffled again.
-    found = _occurrences(docs, min_chars).select(
+    found = _occurrences(docs, _least_chars(min_chars, exact_chars)).select(
         "doc", "number", F.xxhash64("line").alias("hash"), crc
     )
     at = _order(F.col("doc"), F.col("number"))
@@ -288,9 +301,14 @@ def line_report(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
     )
 
 
-def line_counts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_counts(
+    docs: DataFrame,
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    exact_chars: int | None = None,
+) -> DataFrame:
     """One row per document: its lines, how many of them go and which, and its links."""
-    report = line_report(docs, edits, min_chars)
+    report = line_report(docs, edits, min_chars, exact_chars)
     return docs.select(
         "doc_id",
         F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
@@ -304,10 +322,13 @@ def line_counts(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS)
 
 
 def without_repeated_lines(
-    docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame,
+    edits: int = EDITS,
+    min_chars: int = MIN_CHARS,
+    exact_chars: int | None = None,
 ) -> DataFrame:
     """The documents with their repeated lines taken out of ``text``."""
-    dropped = line_report(docs, edits, min_chars).filter(F.size("dropped") > 0)
+    dropped = line_report(docs, edits, min_chars, exact_chars).filter(F.size("dropped") > 0)
     dropped = dropped.select(F.col("doc").alias("__doc"), F.col("dropped").alias("__dropped"))
     parts = F.split("text", "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped"))

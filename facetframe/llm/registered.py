@@ -83,7 +83,8 @@ def op5_warc_index(spark, sf_dir):
 
 @query()
 def op6_segment_line_dedup(spark, sf_dir):
-    found = lines.line_counts(table(spark, sf_dir, "documents"), edits=2, min_chars=40)
+    docs = table(spark, sf_dir, "documents")
+    found = lines.line_counts(docs, edits=2, min_chars=40, exact_chars=1)
     dropped = F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines")
     return found.select("doc_id", "n_lines", "n_dropped", "n_links", dropped)
 

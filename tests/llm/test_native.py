@@ -126,6 +126,28 @@ def test_line_dedup_against_a_loop(spark):
             assert got[doc].n_links == sum(len(near.get(line, [])) for line in found)
 
 
+def test_short_lines_are_grouped_for_exact_repeats(spark):
+    long = "a line of more than forty characters, for near matches"
+    rows = [(1, f"Les.\n\n{long}\nDes.\nLes."), (2, f"Les.\n\n{long}!"), (3, "x\nx\nDes."), (4, "abcdefghi"), (5, "abcdefghj")]
+    docs = docs_frame(spark, rows)
+    got = {r.doc_id: list(r.dropped) for r in lines.line_counts(docs, 2, 40, 1).collect()}
+    assert got == {1: [4], 2: [0, 2], 3: [1, 2], 4: [], 5: []}
+    cleaned = {r.doc_id: r.text for r in lines.without_repeated_lines(docs, 2, 40, 1).collect()}
+    assert (cleaned[1], cleaned[2], cleaned[3]) == (f"Les.\n\n{long}\nDes.", "", "x")
+
+
+def test_line_query_and_pipeline_drop_short_repeats(spark, tmp_path):
+    import __spark_entry__ as entry
+    import corpus_pipeline
+
+    docs = docs_frame(spark, [(1, "Les.\nfirst text"), (2, "Les.\nsecond text")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.dropped_lines for r in entry.queries()["op6_segment_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: "", 2: "0"}
+    kept = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()
+    assert {r.doc_id: r.text for r in kept} == {1: "Les.\nfirst text", 2: "second text"}
+
+
 def test_line_dedup_of_odd_and_of_no_documents(odd, nothing, odd_rows):
     assert lines.line_counts(odd).count() == len(odd_rows)
     assert lines.without_repeated_lines(nothing).count() == 0
