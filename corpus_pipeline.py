@@ -41,7 +41,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the least id."""
-    found = minhash.near_duplicates(docs, percent=85)
+    found = minhash.near_duplicates(docs, percent=80)
     kept = found.filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
     kept = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
     # Rows with one id: the least text stays. Without an id, equal texts are one document.

@@ -1,10 +1,12 @@
 """Near-duplicate documents by min-max hashing.
 
 Every permutation of the shingles gives two signature values, its minimum and its maximum, so a
-signature of 64 values costs 32 hash evaluations a shingle. Documents that agree in one band of four
-values meet in a bucket; of 16 bands, one holds for similar documents (0.85) with probability
-1 - 7e-6, and the whole signature then bounds which pairs are worth comparing (``LEAST_AGREEING``
-lies 4.5 deviations below what a linked pair agrees in).
+signature of 64 values costs 32 hash evaluations a shingle. Documents that agree in one band of
+values meet in a bucket, and the whole signature then bounds which pairs are worth comparing. Both
+follow from the percent asked for: bands are the widest of which a linked pair shares none with
+probability ``MISSED_BANDS`` at most (four values at 85 %, three at 80 %), and the least number of
+agreeing values is the largest that a linked pair stays below with probability ``MISSED_VALUES`` at
+most. A percent that even bands of one value do not cover is refused.
 
 Documents with equal shingle sets are one class and go on as one representative. In a bucket, a
 spanning forest of the agreeing pairs is kept instead of all pairs; its trees, joined across buckets,
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +35,9 @@ from facetframe.sources.scratch import stored
 
 WORDS = 5
 PERMUTATIONS = 32
-BAND = 4
-LEAST_AGREEING = 42
+VALUES = 2 * PERMUTATIONS
+MISSED_BANDS = 1e-5
+MISSED_VALUES = 3e-5
 BUCKET_BLOCK = 2048
 FAMILY_BLOCK = 1_000_000  # shingles
 FILTER_SLOTS = 1 << 20
@@ -48,6 +52,24 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+def band_width(percent: int) -> int:
+    """The most values a band can have for pairs of this similarity to share one."""
+    for width in range(4, 0, -1):
+        if (1 - (percent / 100) ** width) ** (VALUES // width) <= MISSED_BANDS:
+            return width
+    raise ValueError(f"signatures of {VALUES} values do not find links at {percent} percent")
+
+
+def least_agreeing(percent: int) -> int:
+    """The number of values that pairs of this similarity agree in, but for ``MISSED_VALUES``."""
+    p, below = percent / 100, 0.0
+    for n in range(VALUES + 1):
+        below += comb(VALUES, n) * p**n * (1 - p) ** (VALUES - n)
+        if below > MISSED_VALUES:
+            return n
+    return VALUES
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U64(32))) * U64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> U64(32))) * U64(0xD6E8FEB86659FD93)
@@ -122,8 +144,12 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def document_signatures(docs: DataFrame) -> DataFrame:
-    """Per row of ``doc_id`` and ``text``: set size and key, band keys and signature bytes."""
+def document_signatures(docs: DataFrame, width: int = 4) -> DataFrame:
+    """Per row of ``doc_id`` and ``text``: set size and key, band keys and signature bytes.
+
+    A band has ``width`` values; what is left over by whole bands is in none.
+    """
+    banded = VALUES // width * width
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -131,8 +157,8 @@ def document_signatures(docs: DataFrame) -> DataFrame:
                 batch = whole.slice(first, 256)
                 sets = shingle_sets([(t or "").encode() for t in batch.column(1).to_pylist()])
                 full = [s for s in sets if len(s)]
-                values = signatures(full) if full else np.zeros((0, 2 * PERMUTATIONS), U64)
-                mixed = values.reshape(len(full), -1, BAND) * _PLACE[:BAND]
+                values = signatures(full) if full else np.zeros((0, VALUES), U64)
+                mixed = values[:, :banded].reshape(len(full), -1, width) * _PLACE[:width]
                 bands = iter(_mixed(mixed.sum(axis=2, dtype=U64)).view(np.int64))
                 codes = iter((values >> U64(56)).astype(np.uint8))
                 columns = [
@@ -206,7 +232,7 @@ def _agreeing(codes: np.ndarray, one: np.ndarray) -> np.ndarray:
     return (codes == one).sum(axis=1)
 
 
-def agreeing_forest(reps: np.ndarray, codes: np.ndarray) -> tuple[list, list]:
+def agreeing_forest(reps: np.ndarray, codes: np.ndarray, least: int) -> tuple[list, list]:
     """Edges of a maximum spanning forest over pairs that agree in enough signature values."""
     n = len(reps)
     a: list = []
@@ -225,7 +251,7 @@ def agreeing_forest(reps: np.ndarray, codes: np.ndarray) -> tuple[list, list]:
         best[rest[closer]] = agree[closer]
         parent[rest[closer]] = at
         at = int(rest[np.argmax(best[rest])])
-        if best[at] >= LEAST_AGREEING:
+        if best[at] >= least:
             a.append(int(reps[at]))
             b.append(int(reps[parent[at]]))
     return a, b
@@ -239,7 +265,7 @@ def confirmed_forest(
     Where ``side`` has two values only pairs across the sides are compared: pairs within a block are
     the work of the block's own task.
     """
-    n = len(reps)
+    n, least = len(reps), least_agreeing(percent)
     root = list(range(n))
 
     def top(i: int) -> int:
@@ -252,7 +278,7 @@ def confirmed_forest(
     crossing = len(np.unique(side)) > 1
     for i in range(n - 1):
         agree = _agreeing(codes[i + 1 :], codes[i])
-        ok = agree >= LEAST_AGREEING
+        ok = agree >= least
         if crossing:
             ok &= side[i + 1 :] != side[i]
         j = np.flatnonzero(ok)
@@ -279,8 +305,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Links join documents with ``100 * shared >= percent * all`` distinct shingles; a component is
     named by its least id, which is the document that is kept.
     """
+    width, least = band_width(percent), least_agreeing(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = stored(document_signatures(docs), "signatures")
+    signed = stored(document_signatures(docs, width), "signatures")
     some = signed.filter("n_shingles > 0")
     classes = stored(
         some.groupBy("set_key").agg(
@@ -304,7 +331,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     def bucket_forest(rows: pa.Table) -> tuple[list, list]:
         codes = np.frombuffer(b"".join(rows.column("code").to_pylist()), np.uint8)
-        return agreeing_forest(rows.column("rep").to_numpy(), codes.reshape(len(rows), -1))
+        codes = codes.reshape(len(rows), -1)
+        return agreeing_forest(rows.column("rep").to_numpy(), codes, least)
 
     # Signatures travel only with documents that share a bucket.
     met = banded.join(shared, "bucket").join(classes.select("rep", "code"), "rep")

@@ -76,6 +76,36 @@ def test_components_against_all_pairs(spark, odd_rows, block, monkeypatch):
     assert all(r.kept == (r.component_id == r.doc_id) for r in got.values())
 
 
+def test_bands_and_bound_follow_from_the_percent():
+    assert (minhash.band_width(85), minhash.least_agreeing(85)) == (4, 42)
+    assert minhash.band_width(80) == 3 and minhash.least_agreeing(80) < 42
+    rng = np.random.default_rng(4)
+    for percent in (85, 80, 75, 70, 50):
+        width, least = minhash.band_width(percent), minhash.least_agreeing(percent)
+        same = rng.random((200_000, minhash.VALUES)) < percent / 100
+        bands = same[:, : minhash.VALUES // width * width].reshape(len(same), -1, width)
+        assert (~bands.all(axis=2).any(axis=1) | (same.sum(axis=1) < least)).mean() < 1e-4
+    with pytest.raises(ValueError):
+        minhash.band_width(10)
+
+
+def test_pipeline_drops_documents_at_eighty_percent(spark, tmp_path):
+    rng = random.Random(8)
+    rows, gone = [], set()
+    for k in range(60):
+        words = sentence(rng, 104).split()
+        # Ten other words at the end leave 90 of 110 shingles shared.
+        for n, tail in enumerate((0, 10)):
+            copy = [*words[: 104 - tail], *sentence(rng, tail).split()]
+            rows.append((10 * k + n, " ".join(copy)))
+        gone.add(10 * k + 1)
+    sets = {i: shingles(t) for i, t in rows}
+    shares = [len(sets[10 * k] & sets[10 * k + 1]) / len(sets[10 * k] | sets[10 * k + 1]) for k in range(60)]
+    assert 0.80 < min(shares) and max(shares) < 0.85
+    kept = {r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs_frame(spark, rows), str(tmp_path)).collect()}
+    assert kept == {i for i, _ in rows} - gone
+
+
 def test_odd_and_no_documents(odd, nothing, odd_rows):
     assert minhash.near_duplicates(odd).count() == len(odd_rows)
     assert minhash.near_duplicates(nothing).count() == 0
