@@ -12,7 +12,8 @@ Documents with equal shingle sets are one class and go on as one representative.
 spanning forest of the agreeing pairs is kept instead of all pairs; its trees, joined across buckets,
 are families, and a link can only lie within a family. Links are confirmed on the full shingle sets
 inside a family, comparing only documents not connected yet, and leave the task as a forest. Large
-buckets and families are cut into blocks; every pair of blocks is a task of its own.
+buckets and families are cut into blocks, families by shingles and by documents; every pair of blocks
+is a task of its own.
 
 Defined cases: a null text or one without words has no shingles and is linked with nothing; fewer
 words than a shingle make one shingle; repeated ids belong to one another; an empty table gives an
@@ -40,6 +41,7 @@ MISSED_BANDS = 1e-5
 MISSED_VALUES = 3e-5
 BUCKET_BLOCK = 2048
 FAMILY_BLOCK = 1_000_000  # shingles
+FAMILY_DOCUMENTS = 2048
 FILTER_SLOTS = 1 << 20
 U64 = np.uint64
 
@@ -132,16 +134,15 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """The exact test on two sorted sets of distinct shingles."""
-    if len(a) > len(b):
-        a, b = b, a
-    if 100 * len(a) < percent * len(b):
-        return False
-    at = np.searchsorted(b, a)
-    at[at == len(b)] = 0
-    both = int(np.count_nonzero(b[at] == a))
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def linked_with(one: np.ndarray, others: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of several sets are linked with one; no set may be empty."""
+    sizes = np.array([len(s) for s in others])
+    joined = np.concatenate(others)
+    at = np.searchsorted(one, joined)
+    at[at == len(one)] = 0
+    starts = np.cumsum(sizes) - sizes
+    both = np.add.reduceat((one[at] == joined).astype(np.int64), starts)
+    return 100 * both >= percent * (len(one) + sizes - both)
 
 
 def document_signatures(docs: DataFrame, width: int = 4) -> DataFrame:
@@ -263,39 +264,32 @@ def confirmed_forest(
     """Confirmed links that connect all documents of a family that confirmed links connect.
 
     Where ``side`` has two values only pairs across the sides are compared: pairs within a block are
-    the work of the block's own task.
+    the work of the block's own task. The pairs of one row are held at a time.
     """
     n, least = len(reps), least_agreeing(percent)
-    root = list(range(n))
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    firsts, seconds, agreed = [], [], []
+    tree = np.arange(n)
+    a: list = []
+    b: list = []
     crossing = len(np.unique(side)) > 1
     for i in range(n - 1):
         agree = _agreeing(codes[i + 1 :], codes[i])
-        ok = agree >= least
+        ok = (agree >= least) & (tree[i + 1 :] != tree[i])
         if crossing:
             ok &= side[i + 1 :] != side[i]
-        j = np.flatnonzero(ok)
-        firsts.append(np.full(len(j), i, np.int32))
-        seconds.append((j + i + 1).astype(np.int32))
-        agreed.append(agree[j].astype(np.int16))
-    a: list = []
-    b: list = []
-    if not firsts:
-        return a, b
-    order = np.argsort(-np.concatenate(agreed), kind="stable")
-    for i, j in zip(np.concatenate(firsts)[order].tolist(), np.concatenate(seconds)[order].tolist()):
-        p, q = top(i), top(j)
-        if p != q and linked(sets[i], sets[j], percent):
-            root[q] = p
-            a.append(int(reps[i]))
-            b.append(int(reps[j]))
+        rest = np.flatnonzero(ok)
+        rest = rest[np.argsort(-agree[rest], kind="stable")] + i + 1
+        # Few at first, as a link often connects most of the others; many where none is confirmed.
+        few = 4
+        while len(rest):
+            some = rest[:few]
+            for j in some[linked_with(sets[i], [sets[j] for j in some], percent)].tolist():
+                if tree[j] != tree[i]:
+                    tree[tree == tree[j]] = tree[i]
+                    a.append(int(reps[i]))
+                    b.append(int(reps[j]))
+            rest = rest[few:]
+            rest = rest[tree[rest] != tree[i]]
+            few = min(2 * few, 256)
     return a, b
 
 
@@ -353,7 +347,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     members = families.join(classes.select("rep", "n_shingles", "code"), "rep")
     blocks = members.groupBy("family").agg(
-        F.ceil(F.sum("n_shingles") / FAMILY_BLOCK).alias("blocks")
+        F.ceil(
+            F.greatest(
+                F.sum("n_shingles") / FAMILY_BLOCK, F.count(F.lit(1)) / FAMILY_DOCUMENTS
+            )
+        ).alias("blocks")
     )
     # A filter of bounded size first, so that few texts are shuffled for the exact join.
     slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_SLOTS)).alias("slot")

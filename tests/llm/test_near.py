@@ -106,6 +106,27 @@ def test_pipeline_drops_documents_at_eighty_percent(spark, tmp_path):
     assert kept == {i for i, _ in rows} - gone
 
 
+def test_short_templated_texts_are_verified_in_bounded_memory(spark, monkeypatch):
+    import tracemalloc
+
+    texts = [f"w{i} " + " ".join(f"t{k}" for k in range(11)) for i in range(1500)]
+    sets = minhash.shingle_sets([t.encode() for t in texts])
+    codes = np.zeros((len(sets), minhash.VALUES), np.uint8)
+    tracemalloc.start()
+    found = minhash.confirmed_forest(np.arange(1500), codes, sets, np.zeros(1500), 85)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == ([], []) and most < 8_000_000
+    rows_of = []
+    monkeypatch.setattr(minhash, "FAMILY_DOCUMENTS", 20)
+    blocks = minhash._in_block_pairs
+    monkeypatch.setattr(minhash, "_in_block_pairs", lambda rows: rows_of.append(rows) or blocks(rows))
+    near = [(i, f"{texts[0]} " + " ".join(f"u{k}" for k in range(60)) + f" x{i}") for i in range(100)]
+    got = minhash.near_duplicates(docs_frame(spark, near)).collect()
+    assert {r.component_id for r in got} == {0}
+    assert {r.blocks for r in rows_of[1].select("blocks").distinct().collect()} == {5}
+
+
 def test_odd_and_no_documents(odd, nothing, odd_rows):
     assert minhash.near_duplicates(odd).count() == len(odd_rows)
     assert minhash.near_duplicates(nothing).count() == 0
