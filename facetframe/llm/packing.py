@@ -17,8 +17,9 @@ result; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from facetframe.sources.scratch import stored
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def two_fit_patterns(counts: list[int], capacity: int) -> list[tuple[list[int], int]]:
@@ -99,22 +101,38 @@ def _encoder():
 
     with open(public_tokenizers.path(VOCABULARY), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as whole:
+        added = {t["content"]: t["id"] for t in json.load(whole)["added_tokens"]}
     return tiktoken.Encoding(
-        "byte_bpe_50k", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe_50k",
+        pat_str=public_tokenizers.PATTERN,
+        mergeable_ranks=ranks,
+        special_tokens=added,
     )
 
 
 def token_pieces(
-    docs: DataFrame, capacity: int = CAPACITY, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    capacity: int = CAPACITY,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """Cut the token ids of each whole text, closed by the end id, into pieces.
 
     All pieces but the first have ``capacity`` ids. ``ids`` holds them as little-endian unsigned
-    32-bit numbers. Control strings inside a text are ordinary text.
+    32-bit numbers. Control strings inside a text are ordinary text, or with ``added_tokens`` the
+    tokens that the tokenizer's file adds for them.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder().encode_ordinary
+        encoder = _encoder()
+        encode = (
+            partial(encoder.encode, allowed_special="all", disallowed_special=())
+            if added_tokens
+            else encoder.encode_ordinary
+        )
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1)
             rows: list[tuple] = []
@@ -211,9 +229,11 @@ def pack_documents(
 ) -> DataFrame:
     """Tokenise, cut and place whole documents; the ids of a piece are kept as their CRC-32.
 
+    The ids are those of the tokenizer at its default setting, added tokens included.
     ``token_pieces`` holds the ids themselves, stored once; carry them through ``pack_pieces`` to
     write training sequences.
     """
-    pieces = stored(token_pieces(docs, capacity, id_col=id_col, text_col=text_col), "token_pieces")
+    pieces = token_pieces(docs, capacity, id_col=id_col, text_col=text_col, added_tokens=True)
+    pieces = stored(pieces, "token_pieces")
     slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack_pieces(slim, capacity)

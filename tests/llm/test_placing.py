@@ -79,6 +79,19 @@ def test_pieces_hold_the_ids_of_the_tokenizer(spark, odd, odd_rows):
         assert np.frombuffer(r.ids, "<u4").tolist() == reference.encode(r.text, add_special_tokens=False).ids + [0]
 
 
+def test_packed_ids_are_those_of_the_tokenizer_at_its_default(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"one  {end}  two", f"{end}{end}\n", f"é海 {end[:-1]} x{end}y \n\n {end} ", "plain text  ", f"<|{end}|>", "", None]
+    got = {r.doc_id: r for r in packing.pack_documents(docs_frame(spark, list(enumerate(texts)))).collect()}
+    for doc, text in enumerate(texts):
+        ids = np.array(reference.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        assert (got[doc].length, got[doc].ids_crc32) == (len(ids), zlib.crc32(ids.tobytes())), text
+
+
 def check_places(rows, capacity):
     seen = {}
     for r in rows:
