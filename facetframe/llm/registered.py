@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from facetframe.llm import ann, chat, decontam, langid, lines, lm, minhash, packing, sharding, warc
+from facetframe.llm import (
+    ann,
+    chat,
+    decontam,
+    langid,
+    lines,
+    lm,
+    minhash,
+    packing,
+    rules,
+    sharding,
+    warc,
+)
 from facetframe.llm.queries import query, table
 
 # The conversation that every run formats besides the table: its texts hold the template's strings.
@@ -131,3 +143,97 @@ def op9_byte_language(spark, sf_dir):
 @query()
 def op10_min_max_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+_RULE_SQL = {
+    "length": ("n_words >= 50", "n_words < 20"),
+    "word_length": (
+        "word_chars / greatest(n_words, 1) BETWEEN 3 AND 9",
+        "n_words > 0 AND NOT word_chars / greatest(n_words, 1) BETWEEN 2.5 AND 12",
+    ),
+    **{
+        name: tuple(f"{least} AND {part} / greatest({whole}, 1) {op}" for op in (f"<= {good}", f">= {bad}"))
+        for name, part, whole, good, bad, least in [
+            ("symbols", "n_symbols", "n_words", 0.02, 0.1, "n_words >= 1"),
+            ("capitals", "n_capitals", "n_letters", 0.15, 0.3, "n_letters >= 1"),
+            ("letters", "n_other", "word_chars", 0.1, 0.25, "n_words >= 1"),
+            ("shouts", "n_shouts", "n_words", 0.02, 0.1, "n_words >= 1"),
+            ("repeated_lines", "n_dup_lines", "n_lines", 0.05, 0.3, "n_lines >= 2"),
+            ("repeated_words", "n_repeat_words", "n_words", 0.05, 0.2, "n_words >= 16"),
+            ("bare_words", "n_bare_words", "n_words", 0.02, 0.1, "n_words >= 1"),
+            ("variety", "n_same_words", "n_words", 0.6, 0.8, "n_words >= 20"),
+        ]
+    },
+}
+_VOTES_SQL = ", ".join(
+    f"CASE WHEN {good} THEN 1 WHEN {bad} THEN 0 END" for good, bad in _RULE_SQL.values()
+)
+
+
+def _off(text: str, pattern: str) -> str:
+    return f"length(regexp_replace({text}, '{pattern}', '', 'g'))"
+
+
+@query(
+    rf"""WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (
+  SELECT r, doc_id, text, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l,
+    regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS solid FROM docs),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 7], ' ') AS k
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM words)),
+again AS (
+  SELECT r, i FROM windows
+  QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
+repeats AS (
+  SELECT r, sum(least(8, coalesce(next - i, 8))) AS n
+  FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS next FROM again) GROUP BY r),
+counted AS (
+  SELECT words.r, doc_id, len(w) AS n_words, length(solid) AS word_chars,
+    length(solid) - {_off("solid", "[#*$%&|<>]")} AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+    len(l) AS n_lines, {_off("solid", "[^\\p{L}\\p{M}]+")} AS n_letters,
+    length(solid) - {_off("solid", "[A-Z]")} AS n_capitals,
+    length(solid) - {_off("solid", "[^\\p{L}\\p{M}]+")} AS n_other,
+    length(solid) - {_off("solid", "!")} AS n_shouts,
+    len(w) - len(list_distinct(w)) AS n_same_words,
+    len(list_filter(w, lambda x: NOT regexp_matches(x, '[\p{{L}}\p{{N}}]'))) AS n_bare_words
+  FROM words LEFT JOIN repeats ON words.r = repeats.r),
+voted AS (SELECT *, [{_VOTES_SQL}] AS v FROM counted),
+patterns AS (SELECT row_number() OVER (ORDER BY v) AS p, v, count(*)::DOUBLE AS n FROM voted GROUP BY v),
+cells AS (SELECT p, n, j, v[j] AS vote FROM patterns, (SELECT unnest(range(1, {len(_RULE_SQL) + 1})) AS j)),
+believed AS (SELECT 0.1 * sum(n) AS w, sum(n) AS docs FROM patterns),
+fitted(round, j, share, good, bad) AS (
+  SELECT 0, j, 0.85::DOUBLE, 0.99::DOUBLE, 0.4::DOUBLE
+  FROM (SELECT unnest(range(1, {len(_RULE_SQL) + 1})) AS j)
+  UNION ALL
+  SELECT round + 1, j, share, good, bad FROM (
+    WITH split AS (
+      SELECT p, any_value(n) AS n, any_value(round) AS round,
+        1 / (1 + exp(-(ln(any_value(share) / (1 - any_value(share))) + sum(
+          CASE vote WHEN 1 THEN ln(good / (1 - bad)) WHEN 0 THEN ln((1 - good) / bad) ELSE 0 END)))) AS q
+      FROM cells JOIN fitted USING (j) GROUP BY p)
+    SELECT any_value(round) AS round, j,
+      (0.85 * (any_value(w) + 1) + any_value(g)) / (any_value(w) + 1 + any_value(docs)) AS share,
+      (0.99 * (any_value(w) * 0.85 + 1) + coalesce(sum(cells.n * q) FILTER (WHERE vote = 1), 0))
+        / (any_value(w) * 0.85 + 1 + coalesce(sum(cells.n * q) FILTER (WHERE vote IS NOT NULL), 0)) AS good,
+      (0.4 * (any_value(w) * 0.15 + 1) + coalesce(sum(cells.n * (1 - q)) FILTER (WHERE vote = 0), 0))
+        / (any_value(w) * 0.15 + 1 + coalesce(sum(cells.n * (1 - q)) FILTER (WHERE vote IS NOT NULL), 0)) AS bad
+    FROM cells JOIN split USING (p), believed, (SELECT sum(n * q) AS g FROM split)
+    GROUP BY j) WHERE round < 40),
+model AS (SELECT j, share, good, bad FROM fitted WHERE round = 40),
+judged AS (
+  SELECT p, 1 / (1 + exp(-(ln(any_value(share) / (1 - any_value(share))) + sum(
+    CASE vote WHEN 1 THEN ln(good / (1 - bad)) WHEN 0 THEN ln((1 - good) / bad) ELSE 0 END)))) AS q
+  FROM cells JOIN model USING (j) GROUP BY p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND q >= 0.5 AS kept
+FROM voted JOIN patterns ON patterns.v IS NOT DISTINCT FROM voted.v JOIN judged USING (p)"""
+)
+def op11_weak_supervision(spark, sf_dir):
+    return rules.quality_verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", *rules.COUNTS, "base_failed", "kept"
+    )
