@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from facetframe.llm import (
     ann,
+    audit,
     chat,
     decontam,
     langid,
@@ -15,6 +16,7 @@ from facetframe.llm import (
     packing,
     rules,
     sharding,
+    spelling,
     warc,
 )
 from facetframe.llm.queries import query, table
@@ -237,3 +239,56 @@ def op11_weak_supervision(spark, sf_dir):
     return rules.quality_verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", *rules.COUNTS, "base_failed", "kept"
     )
+
+
+@query(
+    r"""WITH docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+firsts AS (SELECT text, min(doc_id) AS first FROM docs GROUP BY text),
+words AS (
+  SELECT doc_id, part, text, first,
+    list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM docs JOIN firsts USING (text)),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+masked AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {'A': len(w) < 50,
+    'B': 100 * len(list_distinct(w)) < 65 * len(w),
+    'C': 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > first, false)} AS fails
+  FROM words LEFT JOIN marks USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+classes AS (
+  SELECT part, [k for k in ['A', 'B', 'C', 'D', 'E'] if struct_extract(fails, 'A') AND k = 'A'
+      OR struct_extract(fails, 'B') AND k = 'B' OR struct_extract(fails, 'C') AND k = 'C'
+      OR struct_extract(fails, 'D') AND k = 'D' OR struct_extract(fails, 'E') AND k = 'E'] AS failed,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM masked GROUP BY ALL),
+removals AS (
+  SELECT part, o, failed, n, good, toxic,
+    coalesce(list_min(list_transform(failed, lambda f: strpos(o, f))), 6) AS gone FROM classes, orders),
+steps AS (SELECT unnest([1, 2, 3, 4, 5]) AS step),
+counted AS (
+  SELECT part, o, step, o[step] AS f, sum(n) FILTER (WHERE gone > step) AS kept,
+    sum(n) FILTER (WHERE gone = step) AS removed,
+    sum(n) FILTER (WHERE gone < step AND list_contains(failed, o[step])) AS redundant,
+    sum(n) FILTER (WHERE failed = [o[step]]) AS unique_fails,
+    sum(good) FILTER (WHERE gone = step) AS good_lost, sum(toxic) FILTER (WHERE gone = step) AS toxic_lost
+  FROM removals, steps GROUP BY ALL)
+SELECT part, o AS filter_order, step::INT AS step, coalesce(kept, 0)::BIGINT AS kept,
+  coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+  coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+  coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM counted"""
+)
+def op12_removal_ranks(spark, sf_dir):
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return audit.removal_audit(audit.filter_masks(documents, labels))
+
+
+@query()
+def op13_one_edit_composition(spark, sf_dir):
+    return spelling.spelling_groups(spelling.planted_words(table(spark, sf_dir, "documents")))
