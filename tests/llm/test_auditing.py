@@ -269,6 +269,7 @@ def test_spelling_groups_against_all_pairs(spark, prefix, most):
         for _ in range(8):
             i = rng.randrange(len(word))
             counts[word[:i] + rng.choice(["", "a", "b" + word[i]]) + word[i + 1 :]] += rng.choice([1, 2, 3, 25])
+    counts |= {"hhhhhhh": 2, "hhhhhhi": 25, "hhhhhii": 500}  # a form whose form is the root
     words = spark.createDataFrame([(w, k) for w, n in counts.items() for k in range(n)], "word string, depth int")
     got = spelling.spelling_groups(words.select("word"), least_prefix=prefix, most_words=most).collect()
     want = groups_by_loop({w: n for w, n in counts.items() if n >= 2}, 10)
