@@ -11,8 +11,8 @@ before a block is left to equi-joins, what happens inside one to a machine built
   right languages share a state) and walks pairs of its states: the same state on both sides before
   the edit, after it two states whose common right language is the answer, remembered by pair.
 
-A block with more than ``most_words`` words is split by its next letter, which turns the edits on that
-letter into the first kind, until every block fits; so no task holds more than ``most_words`` words of
+A block with more than ``most_words`` words is split where its words first differ, which turns the edits
+on that letter into the first kind, until every block fits; so no task holds more than ``most_words`` words of
 a block, and a group of the joins is bounded by the alphabet. Each pair is found once. Every word only
 keeps the number of its near words and the best of them; pairs are not stored.
 
@@ -58,27 +58,49 @@ def vocabulary(words: DataFrame, *, least_count: int = 2) -> DataFrame:
 
 
 def with_blocks(vocab: DataFrame, *, least_prefix: int = 3, most_words: int = 20_000) -> DataFrame:
-    """``depth``: the length of the prefix that names the word's block.
+    """``depth``: the length of the prefix that names the word's block; ``places``: edits before it.
 
-    Starts at ``least_prefix`` and grows by one for the words of every block that is too large; a word
-    that ends there stays behind as a block of its own.
+    Starts at ``least_prefix``. A block that is too large is split at the first letter in which its words
+    differ, so every round splits all of them; between its old name and that letter all its words are
+    alike, so no edit can lie there. A word that ends at that letter is a block of its own.
     """
-    rows = vocab.withColumn("depth", F.least(F.lit(least_prefix), F.length("word")))
-    longest = vocab.agg(F.max(F.length("word"))).first()[0] or 0
-    prefix = F.substring("word", F.lit(1), F.col("depth"))
-    for depth in range(least_prefix, longest):
-        deep = rows.filter(F.col("depth") == depth)
-        large = deep.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("size"))
-        large = large.filter(F.col("size") > most_words).select("prefix")
+    depth = F.least(F.lit(least_prefix), F.length("word"))
+    places = F.when(depth > 0, F.sequence(F.lit(0), depth - 1)).otherwise(F.array().cast("array<int>"))
+    rows = vocab.select("word", "n", depth.alias("depth"), places.alias("places"))
+    block = F.substring("word", F.lit(1), F.col("depth"))
+
+    def differs(i: Column) -> Column:
+        return F.substring("least", i + 1, F.lit(1)) != F.substring("most", i + 1, F.lit(1))
+
+    while True:
+        sized = rows.groupBy(block.alias("block")).agg(
+            F.count(F.lit(1)).alias("size"), F.min("word").alias("least"), F.max("word").alias("most")
+        )
+        # The least and the largest word agree as far as all words do.
+        upto = F.sequence(F.length("block"), F.length("least"))
+        large = sized.filter(F.col("size") > most_words).select(
+            "block", F.filter(upto, differs)[0].alias("branch")
+        )
+        large = stored(large, "spelling_large")
         if large.isEmpty():
-            break
-        at = (F.col("depth") == depth) & (prefix == F.col("prefix"))
-        longer = F.when(
-            F.col("prefix").isNotNull() & (F.length("word") > depth), F.lit(depth + 1)
-        ).otherwise(F.col("depth"))
-        rows = rows.join(large, at, "left").withColumn("depth", longer).drop("prefix")
-        rows = stored(rows, "spelling_blocks")
-    return rows
+            return rows
+        split = F.col("branch").isNotNull()
+        longer = split & (F.length("word") > F.col("branch"))
+        rows = stored(
+            rows.withColumn("block", block)
+            .join(large, "block", "left")
+            .select(
+                "word",
+                "n",
+                F.when(split, F.least(F.col("branch") + 1, F.length("word")))
+                .otherwise(F.col("depth"))
+                .alias("depth"),
+                F.when(longer, F.concat("places", F.array("branch")))
+                .otherwise(F.col("places"))
+                .alias("places"),
+            ),
+            "spelling_blocks",
+        )
 
 
 def _without(i: Column) -> Column:
@@ -96,7 +118,7 @@ def _edits_before(blocks: DataFrame) -> DataFrame:
         return F.struct(i.alias("i"), _without(i).alias("rest"), (left != right).alias("last"))
 
     cut = blocks.select(
-        "word", "n", F.inline(F.transform(F.sequence(F.lit(0), F.col("depth") - 1), place))
+        "word", "n", F.inline(F.transform("places", place))
     )
     # Replacements: words that agree but for one place, at most as many as there are letters.
     alike = cut.groupBy("rest", "i").agg(
