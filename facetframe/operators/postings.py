@@ -40,6 +40,7 @@ from pyspark.sql.types import (
 )
 
 from facetframe.functions import paths as P
+from facetframe.sources.tables import write_table
 
 EXISTS = "_exists"
 HAS_NULL = "_has_null"
@@ -223,18 +224,33 @@ def read_postings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*COLUMNS)
 
 
+def check_new_keys(df: DataFrame, table: DataFrame, key: str) -> None:
+    """Refuse rows whose keys repeat, are null, or are in the table.
+
+    Only the new keys are grouped; the table's are met by a semi join on its key column, which reads
+    no other column and shuffles them only if the new keys are too many to broadcast.
+    """
+    check_key(df, key)
+    fresh = df.select(F.col(key).alias("key"))
+    known = table.select(F.col(key).alias("key"))
+    taken = known.join(fresh, "key", "left_semi").head()
+    if taken is not None:
+        raise ValueError(f"{key} must be new; {taken['key']!r} is in the table")
+
+
 def append_rows(df: DataFrame, table: str, terms: str, key: str) -> None:
-    """Append rows to a stored table and their terms to its postings.
+    """Append rows to a stored table in its layout, and their terms to its postings.
 
     The keys must be new. The postings are written first: until the rows follow, lookups find keys
-    without rows, which a join drops.
+    without rows, which a join drops. A call that stops between the two writes leaves such postings
+    behind; where batches must be repeatable, keep the table in versions (``append_batch``).
     """
     spark = df.sparkSession
     known = read_postings(spark, terms)
-    check_key(spark.read.parquet(table).select(key).unionByName(df.select(key)), key)
+    check_new_keys(df, spark.read.parquet(table), key)
     paths = _posted(known).names
     write_postings(postings(df, key, paths, key_is_checked=True), terms, mode="append")
-    df.write.mode("append").parquet(table)
+    write_table(df, table, mode="append")
 
 
 def upserted_postings(postings_: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -11,9 +11,12 @@ from facetframe.functions.paths import (
     path_column,
     promoted_columns,
     quoted,
+    where,
     without_promoted,
 )
 from facetframe.functions.predicates import contains_value
+from facetframe.operators.postings import append_rows, postings, write_postings
+from facetframe.operators.search import lookup, lookup_all, lookup_any
 from facetframe.operators.upsert import upsert
 from facetframe.plans.prepared import (
     nested_orders,
@@ -24,7 +27,19 @@ from facetframe.plans.prepared import (
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, orders_nested, table
 from facetframe.sources.scratch import scratch_path
-from facetframe.sources.tables import compact, read_table, write_table
+from facetframe.sources.tables import Layout, compact, read_table, write_table
+from facetframe.sources.versions import (
+    Summary,
+    append_batch,
+    compact_batches,
+    create_versioned,
+    delete_batch,
+    read_summary,
+    read_versioned,
+    upsert_batch,
+    version_files,
+    versioned_postings,
+)
 
 col = F.col
 
@@ -342,3 +357,160 @@ def promoted_filter(spark, sf_dir):
     return orders.filter((status == "F") & tier.isNotNull()).select(
         "o_orderkey", status.alias("status"), tier.alias("tier")
     )
+
+
+def _halves(spark, sf_dir):
+    """Nested orders in two batches by their key."""
+    orders = nested_orders(spark, sf_dir)
+    first = col("o_orderkey") % 3 == 0
+    return orders.filter(first), orders.filter(~first)
+
+
+@query(
+    ORDERS_SQL
+    + """SELECT o_orderkey, year, attrs['status'] AS status, true AS in_folder FROM orders_nested
+WHERE year IN (1995, 1996)"""
+)
+def append_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "appended_by_year")
+    first, rest = _halves(spark, sf_dir)
+    write_table(first, path, partition_by=["year"], sort_by=["attrs.status"])
+    write_table(rest, path, mode="append")
+    in_folder = F.input_file_name().contains(F.concat(F.lit("/year="), col("year").cast("string"), F.lit("/")))
+    found = read_table(spark, path).filter(col("year").isin(1995, 1996))
+    return found.select(
+        "o_orderkey", "year", path_column(found, "attrs.status").alias("status"), in_folder.alias("in_folder")
+    )
+
+
+@query(
+    ORDERS_SQL
+    + """SELECT o_orderkey, attrs['status'] AS status, o_totalprice FROM orders_nested
+WHERE attrs['status'] = 'F' AND attrs['tier.1'] = 'high'"""
+)
+def append_promoted(spark, sf_dir):
+    path, terms = scratch_path(spark, "appended_promoted"), scratch_path(spark, "appended_promoted_terms")
+    first, rest = _halves(spark, sf_dir)
+    write_table(first, path, promote=["attrs.status", "attrs.`tier.1`"], bloom=["o_orderkey"])
+    write_postings(postings(read_table(spark, path), "o_orderkey", ["flags"]), terms)
+    append_rows(rest, path, terms, "o_orderkey")
+    found = where(read_table(spark, path), "attrs['status'] = 'F' AND attrs['tier.1'] = 'high'")
+    return found.select("o_orderkey", path_column(found, "attrs.status").alias("status"), "o_totalprice")
+
+
+def _versioned_orders(spark, sf_dir, name):
+    """Orders in versions: a first batch, the rest by status, with postings and a summary."""
+    root = scratch_path(spark, name)
+    first, rest = _halves(spark, sf_dir)
+    create_versioned(
+        first,
+        root,
+        layout=Layout(partition_by=("year",), sort_by=("o_orderkey",), promote=("attrs.status",)),
+        key="o_orderkey",
+        posted=["flags", "attrs"],
+        summaries=[Summary("by_status", ("attrs.status", "year"), ("o_totalprice", "o_custkey", "day"))],
+        batch="first",
+    )
+    for status in "FOP":
+        append_batch(rest.filter(col("o_orderstatus") == status), root, f"rest-{status}", new_keys=True)
+    return root
+
+
+@query(
+    ORDERS_SQL
+    + """SELECT o_orderkey, o_totalprice, year FROM orders_nested
+WHERE list_contains(flags, 'A') AND attrs['status'] = 'F'"""
+)
+def append_twice(spark, sf_dir):
+    root = _versioned_orders(spark, sf_dir, "appended_twice")
+    _, rest = _halves(spark, sf_dir)
+    append_batch(rest.filter("o_orderstatus = 'F'"), root, "rest-F")  # applied before: nothing changes
+    found = lookup_all(
+        read_versioned(spark, root),
+        versioned_postings(spark, root),
+        "o_orderkey",
+        [("flags", "A"), ("attrs.status", "F")],
+    )
+    return found.select("o_orderkey", "o_totalprice", "year")
+
+
+@query(
+    ORDERS_SQL
+    + """, changed AS (
+  SELECT o_orderkey, o_totalprice, 'new' AS status, flags FROM orders_nested WHERE o_orderkey % 7 = 1
+  UNION ALL SELECT o_orderkey, o_totalprice, attrs['status'], flags FROM orders_nested
+  WHERE o_orderkey % 7 <> 1 AND o_orderkey % 7 <> 2)
+SELECT o_orderkey, o_totalprice, status FROM changed
+WHERE status IN ('new', 'F') AND list_contains(flags, 'R')"""
+)
+def upsert_batches(spark, sf_dir):
+    root = _versioned_orders(spark, sf_dir, "upserted_batches")
+    orders = nested_orders(spark, sf_dir)
+    again = orders.filter("o_orderkey % 7 = 1").withColumn("attrs", F.create_map(F.lit("status"), F.lit("old")))
+    upsert_batch(again, root, "once")
+    upsert_batch(again.withColumn("attrs", F.create_map(F.lit("status"), F.lit("new"))), root, "twice")
+    delete_batch(orders.filter("o_orderkey % 7 = 2").select("o_orderkey"), root, "deleted")
+    upsert_batch(again, root, "once")
+    base, terms = read_versioned(spark, root), versioned_postings(spark, root)
+    either = lookup_any(base, terms, "o_orderkey", [("attrs.status", "new"), ("attrs.status", "F")])
+    found = lookup(either, terms, "o_orderkey", "flags", "R")
+    return found.select("o_orderkey", "o_totalprice", path_column(found, "attrs.status").alias("status"))
+
+
+@query(
+    ORDERS_SQL
+    + """SELECT 'old' AS version, year, count(*) AS n, round(sum(o_totalprice), 2) AS total, true AS fewer
+FROM orders_nested GROUP BY year
+UNION ALL SELECT 'new', year, count(*), round(sum(o_totalprice), 2), true
+FROM orders_nested WHERE o_orderkey % 5 <> 0 GROUP BY year"""
+)
+def compact_in_place(spark, sf_dir):
+    root = _versioned_orders(spark, sf_dir, "compacted_in_place")
+    old = read_versioned(spark, root)
+    delete_batch(nested_orders(spark, sf_dir).filter("o_orderkey % 5 = 0").select("o_orderkey"), root)
+    many = len(version_files(spark, root))
+    compact_batches(spark, root)
+    new = read_versioned(spark, root)
+    fewer = len(version_files(spark, root)) < many
+
+    def counted(rows, version):
+        found = rows.groupBy("year").agg(
+            F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+        )
+        return found.withColumn("version", F.lit(version)).withColumn("fewer", F.lit(fewer))
+
+    return counted(old, "old").unionByName(counted(new, "new"))
+
+
+SUMMARY_SQL = """SELECT attrs['status'] AS status, year, count(*) AS n,
+  count(o_totalprice) AS n_o_totalprice, min(o_totalprice) AS min_o_totalprice,
+  max(o_totalprice) AS max_o_totalprice, round(sum(o_totalprice), 2) AS sum_o_totalprice,
+  min(day) AS min_day, max(day) AS max_day, sum(o_custkey)::BIGINT AS sum_o_custkey
+FROM orders_nested"""
+
+
+def _summary(spark, root):
+    return read_summary(spark, root, "by_status").select(
+        "status",
+        "year",
+        "n",
+        *[f"{kind}_o_totalprice" for kind in ("n", "min", "max")],
+        F.round("sum_o_totalprice", 2).alias("sum_o_totalprice"),
+        "min_day",
+        "max_day",
+        "sum_o_custkey",
+    )
+
+
+@query(ORDERS_SQL + SUMMARY_SQL + " WHERE year > 1993 GROUP BY ALL")
+def summary_after_append(spark, sf_dir):
+    root = _versioned_orders(spark, sf_dir, "summarised")
+    return _summary(spark, root).filter("year > 1993")
+
+
+@query(ORDERS_SQL + SUMMARY_SQL + " WHERE o_orderkey % 4 <> 1 GROUP BY ALL")
+def summary_after_delete(spark, sf_dir):
+    root = _versioned_orders(spark, sf_dir, "summarised_again")
+    keys = nested_orders(spark, sf_dir).filter("o_orderkey % 4 = 1").select("o_orderkey")
+    delete_batch(keys, root)
+    return _summary(spark, root)

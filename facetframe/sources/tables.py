@@ -1,9 +1,16 @@
-"""Writing, reading and compacting nested tables as Parquet."""
+"""Writing, reading and compacting nested tables as Parquet.
+
+A table keeps its layout beside its files (``_layout.json``, which listings of data skip): the columns
+it is partitioned by, the paths it is sorted by, promoted and filtered by. Every later append follows
+it.
+"""
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Sequence
+from dataclasses import asdict, dataclass, fields
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -11,6 +18,52 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from facetframe.functions import paths as P
+from facetframe.sources.files import path_exists, read_text, write_text
+
+LAYOUT_FILE = "_layout.json"
+
+
+@dataclass(frozen=True)
+class Layout:
+    """How the files of a table are laid out."""
+
+    partition_by: tuple[str, ...] = ()
+    sort_by: tuple[str, ...] = ()
+    promote: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
+
+    @staticmethod
+    def of(parts: dict) -> Layout:
+        return Layout(**{f.name: tuple(parts.get(f.name, ())) for f in fields(Layout)})
+
+
+def stored_layout(spark: SparkSession, path: str) -> Layout | None:
+    """The layout a table was written with.
+
+    For tables written by other means it is read off the folders and the metadata of the columns;
+    None where there is no table.
+    """
+    kept = f"{path.rstrip('/')}/{LAYOUT_FILE}"
+    if path_exists(spark, kept):
+        return Layout.of(json.loads(read_text(spark, kept)))
+    if not path_exists(spark, path):
+        return None
+    table = spark.read.parquet(path)
+    promoted = tuple(P.promoted_columns(table))
+    return Layout(partition_by=tuple(partition_columns(spark, path)), promote=promoted)
+
+
+def _followed(asked: Layout, kept: Layout, path: str) -> Layout:
+    """The kept layout; what is asked for must be part of it."""
+    for field in fields(Layout):
+        wanted, known = getattr(asked, field.name), getattr(kept, field.name)
+        if field.name != "partition_by":
+            wanted, known = tuple(map(P.identity, wanted)), tuple(map(P.identity, known))
+        differs = set(wanted) - set(known) if field.name in ("promote", "bloom") else wanted != known
+        if wanted and differs:
+            raise ValueError(f"{path} has {field.name} {known}, not {wanted}")
+    return kept
+
 
 
 def _shadows(df: DataFrame, paths: Iterable[str]) -> list[str]:
@@ -44,14 +97,54 @@ def write_table(
     Unpartitioned output is written where the rows are, without a shuffle. With ``partition_by``
     the rows are rebalanced first: small partitions share files no more, and a partition holding
     much of the data is split over many tasks by adaptive execution.
+
+    Appending to a stored table follows the layout it was written with, so the rows lie where its
+    readers look for them and promoted paths stay promoted; a different layout is refused, and so are
+    rows without the table's columns.
     """
-    table = P.promote(df, [*promote, *(p for p in [*sort_by, *bloom] if len(P.steps(p)) > 1)])
-    if partition_by:
-        table = table.hint("rebalance", *map(P.quoted, partition_by))
-    if sort_by:
-        order = [F.col(P.quoted(c)) for c in [*partition_by, *_shadows(table, sort_by)]]
+    layout = Layout(*map(tuple, (partition_by, sort_by, promote, bloom)))
+    kept = stored_layout(df.sparkSession, path) if mode == "append" else None
+    if kept is not None:
+        layout = _followed(layout, kept, path)
+        df = in_columns_of(df, read_table(df.sparkSession, path))
+    left_alone = mode == "ignore" and path_exists(df.sparkSession, path)
+    write_rows(df, path, layout, mode)
+    if kept is None and not left_alone:
+        write_text(df.sparkSession, f"{path.rstrip('/')}/{LAYOUT_FILE}", json.dumps(asdict(layout)))
+
+
+def in_columns_of(df: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows with the table's columns in its types. Promoted columns are derived anew later."""
+    plain = P.without_promoted(df)
+    shadows = set(P.promoted_columns(table).values())
+    wanted = [f for f in table.schema.fields if f.name not in shadows]
+    lost = {f.name for f in wanted} ^ set(plain.columns)
+    if lost:
+        raise ValueError(f"the rows and the table differ in columns {sorted(lost)}")
+    return plain.select(*[F.col(P.quoted(f.name)).cast(f.dataType).alias(f.name) for f in wanted])
+
+
+def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
+    """The rows with the promoted columns of a layout; nested paths to sort or filter by are promoted."""
+    nested = [p for p in [*layout.sort_by, *layout.bloom] if len(P.steps(p)) > 1]
+    return P.promote(df, [*layout.promote, *nested])
+
+
+def save_laid_out(table: DataFrame, path: str, layout: Layout, mode: str) -> None:
+    """Write laid out rows from the tasks they are in, each task's rows in the order of the layout."""
+    if layout.sort_by:
+        order = [F.col(P.quoted(c)) for c in [*layout.partition_by, *_shadows(table, layout.sort_by)]]
         table = table.sortWithinPartitions(*order)
-    _writer(table, mode, _shadows(table, bloom)).partitionBy(*partition_by).parquet(path)
+    writer = _writer(table, mode, _shadows(table, layout.bloom))
+    writer.partitionBy(*layout.partition_by).parquet(path)
+
+
+def write_rows(df: DataFrame, path: str, layout: Layout, mode: str) -> None:
+    """Write rows in a layout, which is not recorded here."""
+    table = laid_out(df, layout)
+    if layout.partition_by:
+        table = table.hint("rebalance", *map(P.quoted, layout.partition_by))
+    save_laid_out(table, path, layout, mode)
 
 
 def read_table(
