@@ -7,7 +7,18 @@ plans them and Spark runs them. Only the functions in ``sources.tables`` and the
 
 from facetframe.functions.paths import path_column, path_type, promote, where, without_promoted
 from facetframe.functions.predicates import contains_value, has_key, has_token, key_equals, words
+from facetframe.operators import bits
+from facetframe.operators.bits import read_bit_postings, write_bit_postings
 from facetframe.operators.facets import facet, group_paths
+from facetframe.operators.grams import (
+    lookup_containing,
+    lookup_suffix,
+    read_grams,
+    term_grams,
+    terms_containing,
+    terms_ending,
+    write_grams,
+)
 from facetframe.operators.paging import has_next, page, page_after
 from facetframe.operators.postings import (
     append_rows,
@@ -35,12 +46,33 @@ from facetframe.operators.search import (
 )
 from facetframe.operators.text import token_filter
 from facetframe.operators.upsert import upsert
-from facetframe.sources.tables import compact, read_table, write_table
+from facetframe.sources.tables import Layout, compact, read_table, stored_layout, write_table
+from facetframe.sources.versions import (
+    Summary,
+    append_batch,
+    compact_batches,
+    create_versioned,
+    delete_batch,
+    read_summary,
+    read_versioned,
+    table_version,
+    upsert_batch,
+    vacuum,
+    version_files,
+    versioned_postings,
+)
 
 __all__ = [
+    "Layout",
+    "Summary",
+    "append_batch",
     "append_rows",
+    "bits",
     "compact",
+    "compact_batches",
     "contains_value",
+    "create_versioned",
+    "delete_batch",
     "existing_keys",
     "exists",
     "facet",
@@ -54,10 +86,12 @@ __all__ = [
     "lookup",
     "lookup_all",
     "lookup_any",
+    "lookup_containing",
     "lookup_keys",
     "lookup_not",
     "lookup_prefix",
     "lookup_range",
+    "lookup_suffix",
     "missing",
     "page",
     "page_after",
@@ -66,16 +100,31 @@ __all__ = [
     "path_type",
     "postings",
     "promote",
+    "read_bit_postings",
+    "read_grams",
     "read_postings",
+    "read_summary",
     "read_table",
+    "read_versioned",
     "save_searchable",
+    "stored_layout",
+    "table_version",
     "term_counts",
+    "term_grams",
+    "terms_containing",
+    "terms_ending",
     "token_filter",
     "upsert",
+    "upsert_batch",
     "upserted_postings",
+    "vacuum",
+    "version_files",
+    "versioned_postings",
     "where",
     "without_promoted",
     "words",
+    "write_bit_postings",
+    "write_grams",
     "write_postings",
     "write_table",
 ]

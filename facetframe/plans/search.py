@@ -10,6 +10,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from facetframe.operators import bits as B
+from facetframe.operators import grams as G
 from facetframe.operators import postings as T
 from facetframe.operators import search as S
 from facetframe.operators.upsert import upsert
@@ -368,3 +370,117 @@ def lookup_after_upsert(spark, sf_dir):
     terms_now = T.upserted_postings(terms, changed, KEY)
     wanted = [("attrs.status", "upserted"), ("attrs.status", "F")]
     return _found(S.lookup_any(table_now, terms_now, KEY, wanted))
+
+
+def _order_bits(spark, sf_dir):
+    """Nested orders and the stored words of their terms."""
+    orders = nested_orders(spark, sf_dir)
+    path = scratch_path(spark, "order_bits")
+    B.write_bit_postings(orders, KEY, ORDER_TERMS, path)
+    return orders, B.read_bit_postings(spark, path)
+
+
+@query(
+    ORDERS_SQL
+    + """SELECT 'and' AS kind, count(*) AS n FROM orders_nested
+WHERE list_contains(flags, 'A') AND attrs['status'] = 'F' AND attrs['tier.1'] = 'high'
+UNION ALL SELECT 'or', count(*) FROM orders_nested
+WHERE list_contains(flags, 'A') OR attrs['priority'] = '1-URGENT' OR year = 1996
+UNION ALL SELECT 'not', count(*) FROM orders_nested
+WHERE NOT list_contains(flags, 'A') AND attrs['status'] = 'O' AND NOT (attrs['priority'] = '1-URGENT')
+UNION ALL SELECT 'range', count(*) FROM orders_nested
+WHERE o_totalprice BETWEEN 1000.5 AND 90000 AND day >= DATE '1996-02-03' AND NOT list_contains(by_status['F'], 'R')
+UNION ALL SELECT 'missing', count(*) FROM orders_nested
+WHERE attrs['tier.1'] IS NULL AND flags IS NOT NULL AND NOT (closed = true OR year < 1994)"""
+)
+def bits_counts(spark, sf_dir):
+    _, words = _order_bits(spark, sf_dir)
+    has_a, urgent = B.term("flags", "A"), B.term("attrs.priority", "1-URGENT")
+    conditions = {
+        "and": has_a & B.term("attrs.status", "F") & B.term("attrs.`tier.1`", "high"),
+        "or": has_a | urgent | B.term("year", 1996),
+        "not": ~has_a & B.term("attrs.status", "O") & ~urgent,
+        "range": B.between("o_totalprice", 1000.5, 90000)
+        & B.between("day", date(1996, 2, 3))
+        & ~B.term("by_status.F", "R"),
+        "missing": ~B.present("attrs.`tier.1`")
+        & B.present("flags")
+        & ~(B.term("closed", True) | ~B.between("year", 1994)),
+    }
+    counts = [B.count_rows(words, c).select(F.lit(k).alias("kind"), "n") for k, c in conditions.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+# DuckDB calls it false, not unknown, when a list has a null and lacks the value.
+@query(
+    FOUND
+    + """(NOT list_contains(marks, 'R') AND len(list_filter(marks, lambda x: x IS NULL)) = 0
+  OR attrs['priority'] LIKE '1%')
+AND NOT (attrs['status'] = 'O' AND list_contains(flags, 'N'))"""
+)
+def bits_rows(spark, sf_dir):
+    orders, words = _order_bits(spark, sf_dir)
+    open_new = B.term("attrs.status", "O") & B.term("flags", "N")
+    wanted = (~B.term("marks", "R") | B.prefix("attrs.priority", "1")) & ~open_new
+    return _found(B.rows_where(orders, words, KEY, wanted))
+
+
+@query(
+    ORDERS_SQL
+    + """, chosen AS (SELECT * FROM orders_nested
+  WHERE attrs['status'] = 'F' AND day > DATE '1993-05-29' AND NOT list_contains(flags, 'R'))
+SELECT 'flags' AS facet, value, count(*) AS n FROM (
+  SELECT unnest(list_distinct(flags)) AS value FROM chosen) WHERE value IS NOT NULL GROUP BY value
+UNION ALL SELECT 'priority', attrs['priority'], count(*) FROM chosen
+WHERE attrs['priority'] IS NOT NULL GROUP BY ALL"""
+)
+def bits_facet_filtered(spark, sf_dir):
+    _, words = _order_bits(spark, sf_dir)
+    chosen = B.term("attrs.status", "F") & B.between("day", date(1993, 5, 30)) & ~B.term("flags", "R")
+    facets = {"flags": "flags", "priority": "attrs.priority"}
+    counted = [
+        B.facet_where(words, path, chosen).select(F.lit(name).alias("facet"), "value", "n")
+        for name, path in facets.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def _doc_grams(spark, sf_dir):
+    """Stored documents, their postings, term counts, and the pieces of their terms."""
+    docs, terms = searchable_docs(spark, sf_dir)
+    counts_path, grams_path = scratch_path(spark, "doc_counts"), scratch_path(spark, "doc_grams")
+    write_table(T.term_counts(terms), counts_path, partition_by=["field"], sort_by=["path", "value"])
+    counts = read_table(spark, counts_path)
+    G.write_grams(G.term_grams(counts), grams_path)
+    return docs, terms, counts, G.read_grams(spark, grams_path)
+
+
+@query(
+    DOCS_SQL
+    + """SELECT 'tionen' AS text, doc_id FROM docs_nested WHERE len(list_filter(words, lambda w: suffix(w, 'tionen'))) > 0
+UNION ALL SELECT 'x', doc_id FROM docs_nested WHERE len(list_filter(words, lambda w: suffix(w, 'x'))) > 0
+UNION ALL SELECT '7', doc_id FROM docs_nested WHERE suffix(meta['source'], '7')"""
+)
+def lookup_suffix(spark, sf_dir):
+    found = _doc_grams(spark, sf_dir)
+    wanted = [("words", "tionen"), ("words", "x"), ("meta.source", "7")]
+    rows = [
+        G.lookup_suffix(*found, "doc_id", path, text).select(F.lit(text).alias("text"), "doc_id")
+        for path, text in wanted
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    DOCS_SQL
+    + """SELECT 'ableth' AS text, doc_id FROM docs_nested WHERE len(list_filter(words, lambda w: contains(w, 'ableth'))) > 0
+UNION ALL SELECT 'qu', doc_id FROM docs_nested WHERE len(list_filter(words, lambda w: contains(w, 'qu'))) > 0
+UNION ALL SELECT '%', doc_id FROM docs_nested WHERE len(list_filter(words, lambda w: contains(w, '%'))) > 0"""
+)
+def lookup_containing(spark, sf_dir):
+    found = _doc_grams(spark, sf_dir)
+    rows = [
+        G.lookup_containing(*found, "doc_id", "words", text).select(F.lit(text).alias("text"), "doc_id")
+        for text in ("ableth", "qu", "%")
+    ]
+    return reduce(DataFrame.unionByName, rows)
