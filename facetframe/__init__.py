@@ -19,6 +19,7 @@ from facetframe.operators.grams import (
     terms_ending,
     write_grams,
 )
+from facetframe.operators.joins import in_keys
 from facetframe.operators.paging import has_next, page, page_after
 from facetframe.operators.postings import (
     append_rows,
@@ -32,6 +33,12 @@ from facetframe.operators.postings import (
     write_postings,
 )
 from facetframe.operators.profile import path_profile
+from facetframe.operators.ranks import (
+    has_next_by_index,
+    page_by_index,
+    read_rank_index,
+    write_rank_index,
+)
 from facetframe.operators.search import (
     existing_keys,
     exists,
@@ -81,7 +88,9 @@ __all__ = [
     "group_paths",
     "has_key",
     "has_next",
+    "has_next_by_index",
     "has_token",
+    "in_keys",
     "key_equals",
     "lookup",
     "lookup_all",
@@ -95,6 +104,7 @@ __all__ = [
     "missing",
     "page",
     "page_after",
+    "page_by_index",
     "path_column",
     "path_profile",
     "path_type",
@@ -103,6 +113,7 @@ __all__ = [
     "read_bit_postings",
     "read_grams",
     "read_postings",
+    "read_rank_index",
     "read_summary",
     "read_table",
     "read_versioned",
@@ -126,5 +137,6 @@ __all__ = [
     "write_bit_postings",
     "write_grams",
     "write_postings",
+    "write_rank_index",
     "write_table",
 ]

@@ -161,6 +161,7 @@ class _Terms(Condition):
 
     path: str
     matches: Callable[[DataFrame], Column]
+    exact: bool = False
 
     def true(self, words, of):
         return of(self, self.matches(words))
@@ -186,7 +187,7 @@ class _Present(Condition):
 
 def term(path: str, value: Any) -> Condition:
     """The value at the path, an element of its array, or a key of its map equals the value."""
-    return _Terms(path, lambda words: _is_term(words, path, value))
+    return _Terms(path, lambda words: _is_term(words, path, value), exact=True)
 
 
 def between(path: str, low: Any = None, high: Any = None) -> Condition:
@@ -231,6 +232,10 @@ def words_where(words: DataFrame, condition: Condition) -> DataFrame:
         return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
 
     result = condition.true(words, of)
+    if isinstance(condition, _Present) or (isinstance(condition, _Terms) and condition.exact):
+        # One term has each word once.
+        (_, test), = tests.values()
+        return words.filter(test).select("word", "bits")
     wanted = reduce(lambda a, b: a | b, (test for _, test in tests.values()))
     columns = [F.bit_or(F.when(test, F.col("bits"))).alias(name) for name, test in tests.values()]
     grouped = words.filter(wanted).groupBy("word").agg(*columns)

@@ -6,9 +6,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from facetframe.operators.paging import has_next, page, page_after
+from facetframe.operators.ranks import (
+    has_next_by_index,
+    page_by_index,
+    read_rank_index,
+    write_rank_index,
+)
 from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, table
+from facetframe.sources.scratch import scratch_path
+from facetframe.sources.tables import read_table, write_table
 
 col = F.col
 
@@ -70,6 +78,37 @@ def page_deep(spark, sf_dir):
     return page(orders, ["o_totalprice desc", "o_orderkey"], 10, 1000)
 
 
+def _ranked_orders(spark, sf_dir):
+    """Orders stored by descending price, and their rank index."""
+    path, index = scratch_path(spark, "ranked"), scratch_path(spark, "ranks_of_price")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    write_table(orders, path, sort_by=["o_totalprice"])
+    stored_orders = read_table(spark, path)
+    write_rank_index(stored_orders, ["o_totalprice desc", "o_orderkey"], index, per_range=1000)
+    return stored_orders, read_rank_index(spark, index)
+
+
+@query(
+    """SELECT 'deep' AS page, o_orderkey, o_totalprice FROM (
+  SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 12300)
+UNION ALL SELECT 'first', o_orderkey, o_totalprice FROM (
+  SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30)"""
+)
+def page_by_rank(spark, sf_dir):
+    orders, index = _ranked_orders(spark, sf_dir)
+    order = ["o_totalprice desc", "o_orderkey"]
+    columns = ["o_orderkey", "o_totalprice"]
+    deep = page_by_index(orders, index, order, 124, 100).select(F.lit("deep").alias("page"), *columns)
+    first = page_by_index(orders, index, order, 1, 30).select(F.lit("first").alias("page"), *columns)
+    return deep.unionByName(first)
+
+
+@query("SELECT (SELECT count(*) FROM orders) > 14900 AS has_next")
+def page_has_next_by_rank(spark, sf_dir):
+    _, index = _ranked_orders(spark, sf_dir)
+    return has_next_by_index(index, 149, 100)
+
+
 @query(
     """SELECT o_orderkey, o_orderpriority FROM orders
 WHERE o_orderpriority < '3-MEDIUM' OR (o_orderpriority = '3-MEDIUM' AND o_orderkey > 2000)

@@ -7,6 +7,7 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from facetframe.functions.predicates import contains_value, has_key, key_equals
+from facetframe.operators.joins import in_keys
 from facetframe.operators.text import token_filter
 from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
@@ -150,6 +151,18 @@ def filter_in(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 30 AND l_shipdate < DATE '1997-01-01')
+  AND o_orderstatus <> 'P'"""
+)
+def filter_in_many(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    keys = lines.filter("l_quantity > 30 AND l_shipdate < DATE '1997-01-01'").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
+    return in_keys(orders, "o_orderkey", keys).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query("SELECT page_id, url FROM pages WHERE starts_with(url, 'http://m.')")
 def filter_starts_with(spark, sf_dir):
     return (

@@ -158,6 +158,22 @@ def table_partition_pruning(spark, sf_dir):
     )
 
 
+# The years are chosen by a table, so only running the query tells which folders it reads.
+@query(
+    ORDERS_SQL
+    + """SELECT o_orderkey, o.year, o_totalprice FROM orders_nested o JOIN (
+  SELECT year(o_orderdate) AS year, count(*) AS n FROM orders GROUP BY ALL) c ON c.year = o.year
+WHERE c.n > 1 AND c.year % 3 = 0"""
+)
+def table_pruning_by_join(spark, sf_dir):
+    years = scratch_path(spark, "years")
+    calendar = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year"))
+    write_table(calendar.agg(F.count("*").alias("n")), years)
+    chosen = read_table(spark, years).filter("n > 1 AND year % 3 = 0").select("year")
+    orders = read_table(spark, orders_by_year_path(spark, sf_dir))
+    return orders.join(chosen, "year").select("o_orderkey", "year", "o_totalprice")
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders")
 def table_listing(spark, sf_dir):
     path = scratch_path(spark, "listed")
