@@ -53,6 +53,14 @@ from facetframe.operators.search import (
 )
 from facetframe.operators.text import token_filter
 from facetframe.operators.upsert import upsert
+from facetframe.operators.variants import (
+    promote_variant,
+    variant_present,
+    variant_profile,
+    variant_type,
+    variant_value,
+    with_variant,
+)
 from facetframe.sources.tables import Layout, compact, read_table, stored_layout, write_table
 from facetframe.sources.versions import (
     Summary,
@@ -110,6 +118,7 @@ __all__ = [
     "path_type",
     "postings",
     "promote",
+    "promote_variant",
     "read_bit_postings",
     "read_grams",
     "read_postings",
@@ -129,9 +138,14 @@ __all__ = [
     "upsert_batch",
     "upserted_postings",
     "vacuum",
+    "variant_present",
+    "variant_profile",
+    "variant_type",
+    "variant_value",
     "version_files",
     "versioned_postings",
     "where",
+    "with_variant",
     "without_promoted",
     "words",
     "write_bit_postings",

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from facetframe.functions.paths import path_column, without_promoted
+from facetframe.operators.facets import facet
 from facetframe.operators.profile import path_profile
+from facetframe.operators.variants import (
+    promote_variant,
+    variant_profile,
+    variant_value,
+    with_variant,
+)
 from facetframe.plans.prepared import nested_orders
 from facetframe.plans.registry import query
 from facetframe.sources.nested import (
@@ -13,6 +21,8 @@ from facetframe.sources.nested import (
     events_nested,
     table,
 )
+from facetframe.sources.scratch import scratch_path
+from facetframe.sources.tables import read_table, write_table
 
 col = F.col
 
@@ -190,6 +200,56 @@ def profile_json_paths(spark, sf_dir):
     return path_profile(events_nested(spark, sf_dir))
 
 
+def _variant_events(spark, sf_dir):
+    """Events whose JSON properties were stored as VARIANT, with a promoted path."""
+    path = scratch_path(spark, "variant_events")
+    events = with_variant(table(spark, sf_dir, "events"), "props")
+    write_table(promote_variant(events, {"props.k": "int"}), path)
+    return read_table(spark, path)
+
+
+@query(
+    """SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events
+WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) BETWEEN 40 AND 45"""
+)
+def variant_filter(spark, sf_dir):
+    events = _variant_events(spark, sf_dir)
+    k = variant_value("props.k", "int")
+    by_variant = events.filter(k.between(40, 43)).select("event_id", "event_type", k.alias("k"))
+    promoted = path_column(events, "props.k")
+    by_shadow = events.filter(promoted.isin(44, 45)).select("event_id", "event_type", promoted.alias("k"))
+    return by_variant.unionByName(by_shadow)
+
+
+@query(
+    """WITH keys AS (SELECT unnest(json_keys(props)) AS k FROM events)
+SELECT 'props' AS path, 'variant' AS type, count(props) AS n_present FROM events
+UNION ALL SELECT 'props.' || k, 'bigint', count(*) FROM keys GROUP BY k"""
+)
+def variant_paths(spark, sf_dir):
+    return variant_profile(without_promoted(_variant_events(spark, sf_dir)), "props")
+
+
+@query(
+    ORDERS_SQL
+    + """, marked AS (
+  SELECT unnest(CASE WHEN len(marks) > 0 THEN marks ELSE [NULL] END) AS mark, o_totalprice FROM orders_nested
+  WHERE attrs['status'] = 'F')
+SELECT mark, count(*) AS n, max(o_totalprice) AS highest FROM marked GROUP BY mark"""
+)
+def variant_facet(spark, sf_dir):
+    path = scratch_path(spark, "variant_orders")
+    orders = nested_orders(spark, sf_dir)
+    doc = F.to_json(F.struct("marks", "attrs", "o_totalprice"), {"ignoreNullFields": "false"})
+    write_table(with_variant(orders.select("o_orderkey", doc.alias("doc")), "doc"), path)
+    found = read_table(spark, path).filter(variant_value("doc.attrs.status") == "F")
+    typed = found.select(
+        variant_value("doc.marks", "array<string>").alias("mark"),
+        variant_value("doc.o_totalprice", "double").alias("price"),
+    )
+    return facet(typed, "mark", {"n": F.count("*"), "highest": F.max("price")})
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS quantity,
        CAST(l_linenumber AS DOUBLE) AS line, CAST(l_linenumber AS VARCHAR) AS line_text,

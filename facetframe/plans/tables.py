@@ -530,3 +530,32 @@ def summary_after_delete(spark, sf_dir):
     keys = nested_orders(spark, sf_dir).filter("o_orderkey % 4 = 1").select("o_orderkey")
     delete_batch(keys, root)
     return _summary(spark, root)
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice, NULL AS clerk, CAST(o_orderkey % 1000 AS BIGINT) AS small,
+  o_orderstatus AS status, NULL AS priority
+FROM orders WHERE o_orderkey % 2 = 0
+UNION ALL SELECT o_orderkey, o_totalprice, o_orderpriority || '!', o_orderkey * 10000000000, o_orderstatus, o_orderpriority
+FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 5 <> 0
+UNION ALL SELECT o_orderkey, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 2 = 1 AND o_orderkey % 5 = 0"""
+)
+def schema_evolves(spark, sf_dir):
+    root = scratch_path(spark, "evolved")
+    orders = table(spark, sf_dir, "orders")
+    key, price = "o_orderkey", "o_totalprice"
+    even = orders.filter("o_orderkey % 2 = 0").select(
+        key, price, (col(key) % 1000).cast("int").alias("small"), F.struct(col("o_orderstatus").alias("status")).alias("s")
+    )
+    odd = orders.filter("o_orderkey % 2 = 1 AND o_orderkey % 5 <> 0").select(
+        F.struct(col("o_orderpriority").alias("priority"), col("o_orderstatus").alias("status")).alias("s"),
+        (col(key) * 10_000_000_000).alias("small"),
+        key,
+        price,
+        F.concat("o_orderpriority", F.lit("!")).alias("clerk"),
+    )
+    create_versioned(even, root, layout=Layout(promote=("s.status",)), key=key, posted=["small"])
+    append_batch(odd, root, new_keys=True, evolve=True)
+    append_batch(orders.filter("o_orderkey % 2 = 1 AND o_orderkey % 5 = 0").select(key), root, new_keys=True, evolve=True)
+    found = read_versioned(spark, root)
+    return found.select(key, price, "clerk", "small", path_column(found, "s.status").alias("status"), "s.priority")

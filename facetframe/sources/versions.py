@@ -9,6 +9,9 @@ A table with a ``key`` also takes updates and deletions. Such a batch brings the
 delete marks; they hide rows and postings of older batches when these are read, until ``compact_batches``
 folds them in. So a batch costs as much as its own rows, whatever the table holds.
 
+Batches may bring new columns and wider types where ``evolve`` is asked for: the table's schema grows, and
+older files are read through it.
+
 The layout (partition columns, sort, promoted and filtered paths, posted paths, summaries) belongs to
 the table, and every batch follows it. Below the root: ``versions`` (the small files), ``rows``, ``terms``,
 ``marks`` and ``sums-<name>``, each with one folder per batch, which readers prune like any partition.
@@ -23,7 +26,23 @@ from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    ByteType,
+    DataType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    NullType,
+    NumericType,
+    ShortType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from facetframe.functions import paths as P
 from facetframe.operators.postings import (
@@ -268,24 +287,32 @@ def versioned_postings(spark: SparkSession, root: str, number: int | None = None
 
 
 def append_batch(
-    df: DataFrame, root: str, batch: str | None = None, *, new_keys: bool = False
+    df: DataFrame,
+    root: str,
+    batch: str | None = None,
+    *,
+    new_keys: bool = False,
+    evolve: bool = False,
 ) -> Version:
     """Append rows. With an id, a batch that was applied before changes nothing.
 
     With ``new_keys`` the caller vouches that no key is in the table; else the new keys are looked for
-    in the table's key column.
+    in the table's key column. With ``evolve`` the rows may have columns that the table lacks, lack some
+    of its columns, and have types that are wider or narrower.
     """
     spark = df.sparkSession
     before = table_version(spark, root)
     if batch is not None and batch in before.applied:
         return before
-    df = _like(df, before)
+    df, before = _fitted(df, before, evolve)
     if before.key is not None and not new_keys:
         check_new_keys(df, read_versioned(spark, root), before.key)
     return _add(df, root, before, batch, checked=before.key is not None and not new_keys)
 
 
-def upsert_batch(df: DataFrame, root: str, batch: str | None = None) -> Version:
+def upsert_batch(
+    df: DataFrame, root: str, batch: str | None = None, *, evolve: bool = False
+) -> Version:
     """Add rows and hide all older rows with their keys. The table itself is not read."""
     spark = df.sparkSession
     before = table_version(spark, root)
@@ -293,7 +320,7 @@ def upsert_batch(df: DataFrame, root: str, batch: str | None = None) -> Version:
         return before
     if before.key is None:
         raise ValueError(f"the table at {root} has no key")
-    df = _like(df, before)
+    df, before = _fitted(df, before, evolve)
     marks = df.select(F.col(P.quoted(before.key)).alias("key"))
     return _add(df, root, before, batch, checked=False, marks=marks)
 
@@ -318,10 +345,60 @@ def delete_batch(keys: DataFrame, root: str, batch: str | None = None) -> Versio
     )
 
 
-def _like(df: DataFrame, version: Version) -> DataFrame:
-    """The rows with the table's columns in its types."""
-    empty = df.sparkSession.createDataFrame([], StructType.fromJson(json.loads(version.schema)))
-    return in_columns_of(df, empty)
+def _fitted(df: DataFrame, version: Version, evolve: bool) -> tuple[DataFrame, Version]:
+    """The rows with the table's columns in its types, and the version with its schema, grown or not."""
+    spark = df.sparkSession
+    schema = StructType.fromJson(json.loads(version.schema))
+    known = P.without_promoted(spark.createDataFrame([], schema))
+    if not evolve:
+        return in_columns_of(df, known), version
+    plain = P.without_promoted(df)
+    merged = spark.createDataFrame([], widened(known.schema, plain.schema))
+    if merged.schema != known.schema:
+        grown = laid_out(merged, version.layout)
+        terms = version.terms_schema
+        if version.posted:
+            terms = postings(merged, version.key, version.posted, key_is_checked=True).schema.json()
+        version = replace(version, schema=grown.schema.json(), terms_schema=terms)
+    # By name at every depth; what is missing is null.
+    return in_columns_of(merged.unionByName(plain, allowMissingColumns=True), merged), version
+
+
+WIDER = [ByteType(), ShortType(), IntegerType(), LongType()]
+
+
+def widened(a: DataType, b: DataType) -> DataType:
+    """The type that holds the values of both and that files of either can be read in.
+
+    Integers widen to longer ones, floats to doubles, decimals of one scale to more digits, void to
+    anything; structs are merged by name, array elements and map values likewise.
+    """
+    if a == b or isinstance(b, NullType):
+        return a
+    if isinstance(a, NullType):
+        return b
+    if a in WIDER and b in WIDER:
+        return WIDER[max(WIDER.index(a), WIDER.index(b))]
+    if {type(a), type(b)} == {FloatType, DoubleType}:
+        return DoubleType()
+    if isinstance(a, DecimalType) and isinstance(b, DecimalType) and a.scale == b.scale:
+        return DecimalType(max(a.precision, b.precision), a.scale)
+    if isinstance(a, ArrayType) and isinstance(b, ArrayType):
+        return ArrayType(widened(a.elementType, b.elementType))
+    if isinstance(a, MapType) and isinstance(b, MapType) and a.keyType == b.keyType:
+        return MapType(a.keyType, widened(a.valueType, b.valueType))
+    if isinstance(a, StructType) and isinstance(b, StructType):
+        theirs = {f.name: f for f in b.fields}
+        fields = [
+            StructField(f.name, widened(f.dataType, theirs[f.name].dataType), True, f.metadata)
+            if f.name in theirs
+            else StructField(f.name, f.dataType, True, f.metadata)
+            for f in a.fields
+        ]
+        own = set(a.names)
+        more = [StructField(f.name, f.dataType, True, f.metadata) for f in b.fields if f.name not in own]
+        return StructType([*fields, *more])
+    raise TypeError(f"{a.simpleString()} and {b.simpleString()} have no common wider type")
 
 
 # Summaries
