@@ -151,9 +151,13 @@ def _probe_offsets(edits: int):
 
 
 def _id(line: Column) -> Column:
-    """Length and letter counts modulo 4 in the upper half, a CRC-32 in the lower."""
+    """Length and letter counts modulo 4 in the upper half, a CRC-32 in the lower.
+
+    The letters are of one byte, so bytes are compared: characters would have to be counted each time.
+    """
+    size = F.octet_length(line)
     counts = [F.length(line)] + [
-        F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS
+        size - F.octet_length(F.replace(line, F.lit(c), F.lit(""))) for c in LETTERS
     ]
     return reduce(
         lambda x, y: x.bitwiseOR(y),
@@ -213,7 +217,11 @@ def line_links(
         .groupBy("line")
         .agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
         .select(
-            "line", "first", "n", F.length("line").alias("chars"), _id(F.col("line")).alias("id")
+            "line",
+            "first",
+            "n",
+            F.length("line").alias("chars"),
+            F.when(F.length("line") >= min_chars, _id(F.col("line"))).alias("id"),
         )
     )
     # The largest table of the operator: texts take a third less room than by the default codec.
