@@ -13,7 +13,9 @@ for its broadcast, followed by an exact join. The benchmark's terms are broadcas
 counted number is below ``MOST_BROADCAST``.
 
 Defined cases: null, empty and word-free texts have no words, hits or windows; a null id is a
-document like any other; rows are told apart by id and text, and equal rows get equal results; equal
+document like any other; rows are told apart by id and text, and equal rows get equal results; items are told
+apart by id and text too, of which those with one id count as one item and a null id is an empty one;
+equal
 windows of several items count for each item; equally rare terms go by position; empty tables give
 no hits; extra columns are ignored.
 """
@@ -29,7 +31,7 @@ from facetframe.sources.scratch import stored
 
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 FILTER_SLOTS = 1 << 20
-MOST_BROADCAST = 500_000
+MOST_BROADCAST = 32 << 20
 NO_ID = -(1 << 63)
 
 
@@ -44,8 +46,23 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.greatest(F.size(parts) - outer, F.lit(0)), F.lit(0)).cast("long")
 
 
-def _small(rows: DataFrame, count: int) -> DataFrame:
-    return F.broadcast(rows) if count <= MOST_BROADCAST else rows
+def _bytes(rows: DataFrame, words: str | None = None) -> int:
+    """About what the rows take: 64 bytes each and the bytes of an array of words."""
+    size = F.lit(64)
+    if words is not None:
+        size = size + F.octet_length(F.array_join(words, "")) + 24 * F.size(words)
+    return rows.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+
+
+def _small(rows: DataFrame, size: int) -> DataFrame:
+    return F.broadcast(rows) if size <= MOST_BROADCAST else rows
+
+
+def _known(items: DataFrame) -> DataFrame:
+    """Items by an ``item_id`` that tells rows with one id and different texts apart, each once."""
+    name = F.coalesce(F.col("item_id").cast("string"), F.lit(""))
+    own = F.struct(name.alias("name"), F.sha2("text", 256).alias("text"))
+    return items.filter(F.col("text").isNotNull()).select(own.alias("item_id"), "text").distinct()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -78,7 +95,7 @@ def positional_index(docs: DataFrame, items: DataFrame) -> DataFrame:
         "doc", "tag", F.posexplode(split_words(F.col("text"))).alias("pos", "word")
     )
     postings = tokens.select(F.xxhash64("word").alias("term"), "doc", "tag", "pos")
-    return stored(postings.join(_small(terms, terms.count()), "term", "left_semi"), "postings")
+    return stored(postings.join(_small(terms, _bytes(terms)), "term", "left_semi"), "postings")
 
 
 def rarest_pairs(items: DataFrame, postings: DataFrame, n: int) -> DataFrame:
@@ -132,12 +149,12 @@ def rarest_pairs(items: DataFrame, postings: DataFrame, n: int) -> DataFrame:
 def proximity_matches(postings: DataFrame, pairs: DataFrame, slack: int) -> DataFrame:
     """Places where the two rarest terms of a window stand within ``slack`` of their distance."""
     pairs = stored(pairs, "rarest_pairs")
-    count = pairs.count()
+    size = _bytes(pairs, "around")
     found = postings.join(
-        _small(pairs, count), F.col("term") == F.col("first_term")
+        _small(pairs, size), F.col("term") == F.col("first_term")
     ).drop("term", "first_term")
     seconds = postings.join(
-        _small(pairs.select(F.col("second_term").alias("term")).distinct(), count),
+        _small(pairs.select(F.col("second_term").alias("term")).distinct(), size),
         "term",
         "left_semi",
     ).select("term", "doc", "tag", F.col("pos").alias("second_pos"))
@@ -231,7 +248,7 @@ def without_contaminated(
     docs: DataFrame, items: DataFrame, n: int = 10, slack: int = 3
 ) -> DataFrame:
     """The documents in which no window of an item occurs, with all their columns."""
-    items = items.select("item_id", "text")
+    items = _known(items)
     slim = docs.select("doc_id", "text")
     found = exact_matches(slim, _near(slim, items, n, slack), n)
     found = found.select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag")).distinct()
@@ -247,17 +264,17 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, slack: int = 3
     matches, exact or not.
     """
     docs = docs.select("doc_id", "text")
-    items = items.select("item_id", "text")
+    items = _known(items)
     near = _near(docs, items, n, slack)
     found = exact_matches(docs, near, n)
     per_doc = found.groupBy("doc", "tag").agg(
         F.array_sort(F.collect_set(F.struct("start", "end"))).alias("runs"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
+        F.array_sort(F.collect_set("item_id.name")).alias("items"),
     )
     hits = per_doc.select(
         "doc", "tag", covered_words(F.col("runs")).cast("long").alias("n_hit"), "items"
     )
-    close = near.groupBy("doc", "tag").agg(F.count_distinct("item_id").alias("near_items"))
+    close = near.groupBy("doc", "tag").agg(F.count_distinct("item_id.name").alias("near_items"))
     none = F.array().cast("array<string>")
     return (
         _keyed(docs)

@@ -172,7 +172,7 @@ def hits(text, items, n):
             for at in range(len(words) - size + 1):
                 if words[at : at + size] == own[k : k + size]:
                     hit.update(range(at, at + size))
-                    found.add(str(item))
+                    found.add("" if item is None else str(item))
     return len(words), len(hit), sorted(found)
 
 
@@ -180,7 +180,10 @@ def test_contamination_against_a_loop(spark, odd_rows):
     rng = random.Random(9)
     items = [(i, sentence(rng, rng.choice([3, 9, 10, 11, 25]), "abc")) for i in range(12)]
     items += [(20, None), (21, ""), (22, "?!"), (23, "ÉÀ Straße"), (24, items[2][1]), (25, "a a a a a a a a a a a")]
+    # No id; one id with two texts; a repeated row.
+    items += [(None, sentence(rng, 12, "abc")), (30, sentence(rng, 12, "abc")), (30, sentence(rng, 14, "abc")), items[3]]
     rows = [(i, t) for i, t in odd_rows if i not in (11, 12)]
+    rows += [(300 + k, f"before {body} after") for k, (_, body) in enumerate(items[-4:])]
     for doc in range(100, 160):
         words = sentence(rng, 30, "abc").split()
         own = (items[rng.randrange(12)][1]).upper().split(" ")
@@ -194,6 +197,7 @@ def test_contamination_against_a_loop(spark, odd_rows):
     expected = sorted((str(d), *hits(t, items, 10)) for d, t in rows)
     assert sorted((str(r.doc_id), r.n_words, r.n_hit, list(r["items"])) for r in got.collect()) == expected
     assert any(e[2] for e in expected)
+    assert [e[3] for e in expected if e[0] in ("300", "301", "302")] == [[""], ["30"], ["30"]]
     assert all(r.near_items >= len(r["items"]) for r in got.collect())
     kept = decontam.without_contaminated(docs, item_frame)
     assert kept.columns == docs.columns
