@@ -235,7 +235,7 @@ def check_new_keys(df: DataFrame, table: DataFrame, key: str) -> None:
     known = table.select(F.col(key).alias("key"))
     taken = known.join(fresh, "key", "left_semi").head()
     if taken is not None:
-        raise ValueError(f"{key} must be new; {taken['key']!r} is in the table")
+        raise ValueError(f"{key} must be unique and not null; {taken['key']!r} is in the table")
 
 
 def append_rows(df: DataFrame, table: str, terms: str, key: str) -> None:
