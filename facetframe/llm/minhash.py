@@ -16,8 +16,9 @@ buckets and families are cut into blocks, families by shingles and by documents;
 is a task of its own.
 
 Defined cases: a null text or one without words has no shingles and is linked with nothing; fewer
-words than a shingle make one shingle; repeated ids belong to one another; an empty table gives an
-empty result; extra columns are ignored.
+words than a shingle make one shingle; repeated ids belong to one another; a null id gets no component
+of others, and a set that only rows without an id have is looked for in no other; an empty table gives
+an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -161,7 +162,8 @@ def document_signatures(docs: DataFrame, width: int = 4) -> DataFrame:
                 values = signatures(full) if full else np.zeros((0, VALUES), U64)
                 mixed = values[:, :banded].reshape(len(full), -1, width) * _PLACE[:width]
                 bands = iter(_mixed(mixed.sum(axis=2, dtype=U64)).view(np.int64))
-                codes = iter((values >> U64(56)).astype(np.uint8))
+                # Minima are small and maxima large in long texts: their own upper bits tell nothing.
+                codes = iter((_mixed(values) >> U64(56)).astype(np.uint8))
                 columns = [
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),

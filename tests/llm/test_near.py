@@ -183,3 +183,31 @@ def test_queries_are_registered_and_agree_with_their_sql(spark):
     sf = "/root/testdata/sf0.001"
     for name, sql in SQL.items():
         assert spark_result(RUNS[name](spark, sf)) == sql_result(connect(sf), sql)
+
+
+@pytest.mark.parametrize("words", [60, 5_000])
+def test_codes_of_unrelated_texts_agree_in_few_values(spark, words):
+    rng = random.Random(words)
+    rows = [(i, sentence(rng, words, "abcdefghijklmnop")) for i in range(12)]
+    signed = minhash.document_signatures(docs_frame(spark, rows)).collect()
+    codes = [np.frombuffer(bytes(r.code), np.uint8) for r in signed]
+    agree = [int((a == b).sum()) for i, a in enumerate(codes) for b in codes[i + 1 :]]
+    assert max(agree) <= 6 < minhash.least_agreeing(80)
+
+
+def test_long_linked_texts_are_found_through_their_codes(spark):
+    rng = random.Random(77)
+    rows = []
+    for k in range(6):
+        text = sentence(rng, 3_000, "abcdefghijklmnop").split()
+        other = list(text)
+        for at in rng.sample(range(3_000), 40):
+            other[at] = "changed"
+        rows += [(10 * k, " ".join(text)), (10 * k + 1, " ".join(other))]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_frame(spark, rows), percent=85).collect()}
+    sets = {d: set(minhash.shingle_sets([t.encode()])[0].tolist()) for d, t in rows}
+    for k in range(6):
+        a, b = sets[10 * k], sets[10 * k + 1]
+        linked = 100 * len(a & b) >= 85 * len(a | b)
+        assert got[10 * k + 1] == (10 * k if linked else 10 * k + 1)
+    assert any(got[10 * k + 1] == 10 * k for k in range(6))
