@@ -9,7 +9,7 @@ wide enough, compared with the distance of its k-th neighbour, that a nearer vec
 collided often enough.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no
-part; vectors of another length are no candidates; rows with the query's own id are not its
+part, nor do rows without an id, which could not be named; vectors of another length are no candidates; rows with the query's own id are not its
 candidates; of repeated ids one query row and the nearest candidate row count; ties go to the
 smaller id; with fewer candidates than k all are returned; an empty table gives an empty result;
 extra columns are ignored.
@@ -97,11 +97,12 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int) -> DataFr
 
     Both inputs have ``vec_id`` and ``embedding``.
     """
-    vectors = vectors.filter(usable("embedding")).select(
+    named = F.col("vec_id").isNotNull()
+    vectors = vectors.filter(named & usable("embedding")).select(
         F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector")
     )
     queries = (
-        queries.filter(usable("embedding"))
+        queries.filter(named & usable("embedding"))
         .select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vector"))
         .groupBy("id")
         .agg(F.min("vector").alias("vector"))

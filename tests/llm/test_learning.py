@@ -147,8 +147,8 @@ def test_neighbours_against_brute_force(spark, monkeypatch):
 def test_vectors_that_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [1.0, 0.25]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]),
-            (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 0.0, 0.0]), (9, [1.0, 0.0]), (0, [5.0, 5.0]), (10, [1.0, -0.25])]
+            (6, [inf, 1.0]), (7, [None, 1.0]), (8, [1.0, 0.0, 0.0]), (9, [1.0, 0.0]), (0, [5.0, 5.0]), (10, [1.0, -0.25]), (None, [1.0, 0.0])]
     frame = vectors_frame(spark, rows)
-    got = ann.nearest_neighbours(frame, frame.filter("vec_id IN (0, 2, 4, 5)"), 5).orderBy("rank").collect()
+    got = ann.nearest_neighbours(frame, frame.filter("vec_id IN (0, 2, 4, 5) OR vec_id IS NULL"), 5).orderBy("rank").collect()
     assert [tuple(r) for r in got] == [(0, 1, 9, 0.0), (0, 2, 1, 0.25), (0, 3, 10, 0.25)]
     assert ann.nearest_neighbours(frame.limit(0), frame, 5).count() == 0
