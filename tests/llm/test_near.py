@@ -179,7 +179,7 @@ def test_queries_are_registered_and_agree_with_their_sql(spark):
     from check import connect, spark_result, sql_result
 
     assert find_spec("facetframe.llm") and set(RUNS) <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in RUNS if n != "pipeline"} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in RUNS if n != "pipeline"} == set(range(1, 14))
     sf = "/root/testdata/sf0.001"
     for name, sql in SQL.items():
         assert spark_result(RUNS[name](spark, sf)) == sql_result(connect(sf), sql)
