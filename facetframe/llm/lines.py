@@ -119,25 +119,37 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return _let(F.struct(rows.alias("a"), columns.alias("b")), run) <= edits
 
 
-def _segment(length: Column, edits: int, number: int) -> tuple[Column, Column]:
+def _segment(gap: int, edits: int, number: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a segment: the last ones are longer where it does not divide."""
     parts = edits + 1
-    base, more = F.floor(length / parts).cast("int"), (length % parts).cast("int")
-    later = F.greatest(more - (parts - number), F.lit(0))
-    return base * number + later, base + (more >= parts - number).cast("int")
+    if number == 0:
+        return F.lit(0), F.col(f"base{gap}")
+    base, more = F.col(f"base{gap}"), F.col(f"more{gap}")
+    start = base * number
+    if number > 1:
+        start = start + F.greatest(more - (parts - number), F.lit(0))
+    return start, base + (more >= parts - number).cast("int")
 
 
-def _keys(edits: int, gaps: range, offsets) -> Column:
-    """Hashes of (line length, segment number, substring) for every place a segment may stand."""
-    found = []
+def _keys(long: DataFrame, name: str, edits: int, gaps: range, offsets) -> DataFrame:
+    """``id`` as ``name`` and ``key``, a row for every place a segment may stand: hashes of (line
+    length, segment number, substring).
+
+    What the places share is computed in columns before: with it in every place the generated code
+    is longer than the 8,000 bytes the JVM compiles at most, and then it is interpreted.
+    """
+    shared, found = [], []
     for gap in gaps:
         length = F.col("chars") - gap
+        shared.append(F.floor(length / (edits + 1)).cast("int").alias(f"base{gap}"))
+        shared.append((length % (edits + 1)).cast("int").alias(f"more{gap}"))
         for number in range(edits + 1):
-            start, size = _segment(length, edits, number)
+            start, size = _segment(gap, edits, number)
             for offset in offsets(gap, number):
                 part = F.substring(F.col("line"), start + 1 + offset, size)
                 found.append(F.xxhash64(length, F.lit(number), part))
-    return F.array(*found)
+    rows = long.select("id", "line", "chars", *shared)
+    return rows.select(F.col("id").alias(name), F.explode(F.array(*found)).alias("key"))
 
 
 def _probe_offsets(edits: int):
@@ -227,13 +239,8 @@ def line_links(
     # The largest table of the operator: texts take a third less room than by the default codec.
     lines = stored(lines, "distinct_lines", compression="zstd")
     long = lines.filter(F.col("chars") >= min_chars)
-    index = long.select(
-        F.col("id").alias("a"), F.explode(_keys(edits, range(1), lambda *_: [0])).alias("key")
-    )
-    probes = long.select(
-        F.col("id").alias("b"),
-        F.explode(_keys(edits, range(edits + 1), _probe_offsets(edits))).alias("key"),
-    )
+    index = _keys(long, "a", edits, range(1), lambda *_: [0])
+    probes = _keys(long, "b", edits, range(edits + 1), _probe_offsets(edits))
     similar = _may_be_linked(F.col("a"), F.col("b"), edits)
     met = index.join(probes, (index["key"] == probes["key"]) & similar)
     pairs = stored(

@@ -86,6 +86,18 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def test_keys_of_lines_are_code_that_the_jvm_compiles(spark, tmp_path):
+    frame = spark.createDataFrame([("a" * 50, 50, 1)], "line string, chars int, id long")
+    frame.write.parquet(str(tmp_path / "lines"))
+    long = spark.read.parquet(str(tmp_path / "lines"))
+    probes = lines._keys(long, "b", 2, range(3), lines._probe_offsets(2))
+    plan_ = probes._jdf.queryExecution().executedPlan()
+    codes = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenStringSeq(plan_)
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 8000
+    assert probes.count() == 12
+
+
 def test_line_dedup_against_a_loop(spark):
     rng = random.Random(7)
     base = [sentence(rng, 6) for _ in range(25)]
