@@ -34,6 +34,7 @@ CAPACITY = 2048
 END_ID = 0
 VOCABULARY = "byte_bpe_50k.tiktoken"
 TOKENIZER = "byte_bpe_50k.json"
+OUTPUT_BYTES = 1 << 20
 
 
 def two_fit_patterns(counts: list[int], capacity: int) -> list[tuple[list[int], int]]:
@@ -126,34 +127,41 @@ def token_pieces(
     tokens that the tokenizer's file adds for them.
     """
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder()
-        encode = (
-            partial(encoder.encode, allowed_special="all", disallowed_special=())
-            if added_tokens
-            else encoder.encode_ordinary
-        )
-        for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            rows: list[tuple] = []
-            for key, text in zip(keys, texts):
-                ids = np.array([*encode(text.as_py() or ""), END_ID], dtype="<u4")
-                end = (len(ids) - 1) % capacity + 1
-                start = piece = 0
-                while start < len(ids):
-                    rows.append((key, piece, start, end - start, ids[start:end].tobytes()))
-                    start, end, piece = end, end + capacity, piece + 1
-                if len(rows) >= 2000:
-                    yield _pieces(rows, batch.schema.field(0).type)
-                    rows = []
-            if rows:
-                yield _pieces(rows, batch.schema.field(0).type)
-
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids binary"
+    cut = partial(_cut, capacity=capacity, added_tokens=added_tokens)
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 
 
+def _cut(
+    batches: Iterator[pa.RecordBatch], capacity: int, added_tokens: bool
+) -> Iterator[pa.RecordBatch]:
+    """Pieces of the texts, given back as soon as they hold ``OUTPUT_BYTES``."""
+    encoder = _encoder()
+    encode = (
+        partial(encoder.encode, allowed_special="all", disallowed_special=())
+        if added_tokens
+        else encoder.encode_ordinary
+    )
+    for batch in batches:
+        keys, texts = batch.column(0).to_pylist(), batch.column(1)
+        rows: list[tuple] = []
+        held = 0
+        for key, text in zip(keys, texts):
+            ids = np.array([*encode(text.as_py() or ""), END_ID], dtype="<u4")
+            end = (len(ids) - 1) % capacity + 1
+            start = piece = 0
+            while start < len(ids):
+                rows.append((key, piece, start, end - start, ids[start:end].tobytes()))
+                start, end, piece = end, end + capacity, piece + 1
+            held += ids.nbytes
+            if len(rows) >= 2000 or held >= OUTPUT_BYTES:
+                yield _pieces(rows, batch.schema.field(0).type)
+                rows, held = [], 0
+        if rows:
+            yield _pieces(rows, batch.schema.field(0).type)
+
+
 def _pieces(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
     types = [key_type, pa.int32(), pa.int64(), pa.int64(), pa.binary()]
     names = ["doc_id", "piece", "start", "length", "ids"]

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +185,11 @@ def test_shards_keep_equal_texts_together(spark, odd, nothing, odd_rows):
         assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
     assert {r.shard for r in got} <= set(range(5))
     assert sharding.shard_documents(nothing, 5).count() == 0
+
+
+def test_pieces_leave_in_batches_of_bounded_bytes(monkeypatch):
+    monkeypatch.setattr(packing, "OUTPUT_BYTES", 4000)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(40)), "text": ["one two three " * 100] * 40})
+    found = list(packing._cut(iter([batch]), capacity=2048, added_tokens=True))
+    assert len(found) > 5
+    assert [i for b in found for i in b.column("doc_id").to_pylist()] == list(range(40))
