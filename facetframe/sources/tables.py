@@ -21,6 +21,8 @@ from facetframe.functions import paths as P
 from facetframe.sources.files import path_exists, read_text, write_text
 
 LAYOUT_FILE = "_layout.json"
+#: Bytes of Parquet that one task of a compaction sorts; in memory they are many times as many.
+RANGE_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -167,6 +169,19 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def _ranges(spark: SparkSession, path: str) -> int:
+    """Ranges of at most ``RANGE_BYTES`` of a table, at most one for two of its files."""
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .agg(F.sum("_metadata.file_size"), F.count(F.lit(1)))
+    )
+    size, files = listed.head()
+    return min(-(-(size or 0) // RANGE_BYTES), files // 2)
+
+
 def compact(
     spark: SparkSession,
     src: str,
@@ -179,7 +194,8 @@ def compact(
 ) -> None:
     """Rewrite the table at ``src`` into fewer files at ``dst``, keeping every row.
 
-    Unpartitioned rows go into ``files`` files, range-partitioned by ``sort_by`` and, within equal
+    Unpartitioned rows go into ``files`` files; where that gives a task more than ``RANGE_BYTES`` to
+    sort, into more, but at most half as many as the source has. They are range-partitioned by ``sort_by`` and, within equal
     values, by their position in the source, so neither a frequent value nor many equal copies end
     up in one task. A partitioned table (``partition_by``, by default as the source is) keeps its
     layout: its rows are ranged by partition first, so a partition gets files by its share of rows.
@@ -193,7 +209,7 @@ def compact(
     layout = [F.col(P.quoted(c)) for c in partition_by]
     order = [*layout, *(F.col(P.quoted(c)) for c in _shadows(table, sort_by))]
     placed = table.withColumn("__position", F.monotonically_increasing_id())
-    ranged = placed.repartitionByRange(files, *order, "__position")
+    ranged = placed.repartitionByRange(max(files, _ranges(spark, src)), *order, "__position")
     if order:
         ranged = ranged.sortWithinPartitions(*order)
     ranged.select(*columns).write.mode(mode).partitionBy(*partition_by).parquet(dst)
