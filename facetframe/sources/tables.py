@@ -96,9 +96,10 @@ def write_table(
     ``promote`` adds shadow columns for map keys and struct fields, ``sort_by`` (paths) orders the
     rows within each task for tight row-group statistics, ``bloom`` (paths) adds bloom filters.
     Nested paths to sort by or to filter are promoted as well, since Parquet needs them on top.
-    Unpartitioned output is written where the rows are, without a shuffle. With ``partition_by``
-    the rows are rebalanced first: small partitions share files no more, and a partition holding
-    much of the data is split over many tasks by adaptive execution.
+    Output that is neither partitioned nor sorted is written where the rows are, without a shuffle.
+    With ``partition_by`` the rows are rebalanced first: small partitions share files no more, and a
+    partition holding much of the data is split over many tasks by adaptive execution. With
+    ``sort_by`` alone they are rebalanced by the sorted columns, so that what a task sorts is bounded.
 
     Appending to a stored table follows the layout it was written with, so the rows lie where its
     readers look for them and promoted paths stay promoted; a different layout is refused, and so are
@@ -144,8 +145,9 @@ def save_laid_out(table: DataFrame, path: str, layout: Layout, mode: str) -> Non
 def write_rows(df: DataFrame, path: str, layout: Layout, mode: str) -> None:
     """Write rows in a layout, which is not recorded here."""
     table = laid_out(df, layout)
-    if layout.partition_by:
-        table = table.hint("rebalance", *map(P.quoted, layout.partition_by))
+    together = layout.partition_by or dict.fromkeys(_shadows(table, layout.sort_by))
+    if together:
+        table = table.hint("rebalance", *map(P.quoted, together))
     save_laid_out(table, path, layout, mode)
 
 
