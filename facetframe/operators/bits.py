@@ -37,16 +37,19 @@ from facetframe.operators.postings import (
     ORDER,
     TYPED,
     _posted,
+    _term,
     at_path,
     atomic_type,
     marked,
     posted_type,
     postings,
+    term_arrays,
     typed_value,
 )
 from facetframe.operators.search import _comparable, _is_term
 
 ROWS = "_rows"
+TASK_ROWS = 250_000
 COLUMNS = ["field", "path", "value", *TYPED, "word", "bits", "n"]
 Words = Callable[[object, Column], Column]
 
@@ -60,23 +63,36 @@ def _bit(key: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
 
 
-def bit_postings(df: DataFrame, key: str, paths: Sequence[str]) -> DataFrame:
-    """The words of every term, and of all rows (field ``_rows``), with the number ``n`` of keys."""
+def bit_postings(
+    df: DataFrame, key: str, paths: Sequence[str], partitions: int | None = None
+) -> DataFrame:
+    """The words of every term, and of all rows (field ``_rows``), with the number ``n`` of keys.
+
+    With ``partitions`` the rows are shuffled by word into so many tasks.
+    """
     if not isinstance(P.path_type(df, key), INTEGRAL):
         raise TypeError(f"bits need an integral key, {key} is {P.path_type(df, key).simpleString()}")
-    terms = postings(df, key, paths, key_is_checked=True)
-    marks = df.select(F.lit(ROWS).alias("field"), F.lit("").alias("path"), F.col(key).alias("key"))
-    both = terms.unionByName(marks, allowMissingColumns=True)
-    words = both.groupBy("field", "path", "value", *TYPED, _word(F.col("key")).alias("word")).agg(
-        F.bit_or(_bit(F.col("key"))).alias("bits"), F.count(F.lit(1)).alias("n")
+    mark = F.array(_term(ROWS, F.lit(""), None, StringType()))
+    terms = F.concat(mark, *term_arrays(df, paths)).alias("terms")
+    posted = [P.quoted(c) for c in dict.fromkeys(P.steps(p)[0] for p in paths)]
+    rows = df.select(*posted, F.col(key).alias("__key"), _word(F.col(key)).alias("__word"))
+    if partitions is not None:
+        # The rows of a word meet here, so the grouping needs no shuffle after it.
+        rows = rows.repartition(partitions, "__word")
+    flat = rows.select("__key", "__word", terms).select("__key", "__word", F.inline("terms"))
+    words = flat.groupBy("field", "path", "value", *TYPED, "__word").agg(
+        F.bit_or(_bit(F.col("__key"))).alias("bits"), F.count(F.lit(1)).alias("n")
     )
-    return words.select(*COLUMNS).withMetadata("path", terms.schema["path"].metadata)
+    words = words.withColumnRenamed("__word", "word")
+    metadata = postings(df, key, paths, key_is_checked=True).schema["path"].metadata
+    return words.select(*COLUMNS).withMetadata("path", metadata)
 
 
 def write_bit_postings(df: DataFrame, key: str, paths: Sequence[str], path: str) -> None:
     """Write the words of a table's terms, sorted by term, one directory per field.
 
-    One scan of the posted paths. Then the words of all rows are checked for keys that repeat or are null,
+    The rows are counted, then one scan of the posted paths makes the words of at most about ``TASK_ROWS``
+    rows in a task. Then the words of all rows are checked for keys that repeat or are null,
     and existence is added for atomic paths, from the words just written.
     """
     spark = df.sparkSession
@@ -85,7 +101,8 @@ def write_bit_postings(df: DataFrame, key: str, paths: Sequence[str], path: str)
         ordered = words.sortWithinPartitions(*ORDER, "word")
         ordered.write.mode(mode).partitionBy("field").parquet(path)
 
-    words = bit_postings(df, key, paths)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = bit_postings(df, key, paths, max(tasks, -(-df.select(key).count() // TASK_ROWS)))
     save(words, "overwrite")
     written = spark.read.schema(words.schema).parquet(path).select(*COLUMNS)
     rows = written.filter(F.col("field") == ROWS)

@@ -157,6 +157,11 @@ def check_key(df: DataFrame, key: str) -> None:
         raise ValueError(f"{key} must be unique and not null; {bad['key']!r} is on {bad['n']} rows")
 
 
+def term_arrays(df: DataFrame, paths: Sequence[str]) -> list[Column]:
+    """For every path, all postings of a row as an array."""
+    return [_terms(F.col(p), F.lit(P.identity(p)), P.steps(p)[0], P.path_type(df, p)) for p in paths]
+
+
 def postings(
     df: DataFrame, key: str, paths: Sequence[str], *, key_is_checked: bool = False
 ) -> DataFrame:
@@ -169,10 +174,7 @@ def postings(
     posted = {P.identity(p): P.path_type(df, p) for p in paths}
     if not key_is_checked:
         check_key(df, key)
-    arrays = [
-        _terms(F.col(p), F.lit(P.identity(p)), P.steps(p)[0], P.path_type(df, p)) for p in paths
-    ]
-    rows = df.select(F.col(key).alias("key"), F.concat(*arrays).alias("terms"))
+    rows = df.select(F.col(key).alias("key"), F.concat(*term_arrays(df, paths)).alias("terms"))
     flat = rows.select("key", F.inline("terms"))
     types = StructType([StructField(p, t) for p, t in posted.items()])
     metadata = {"posted": types.json()}

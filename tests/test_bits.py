@@ -147,3 +147,11 @@ def test_substring_lookups_read_no_text_of_the_table(spark, pieces, books, path)
     base, *found = pieces
     text = plan(ff.lookup_containing(spark.read.parquet(path).select("isbn"), *found, "isbn", "title", "and sea"))
     assert "ReadSchema: struct<isbn:bigint>" in text and "title:string" not in text
+
+
+def test_words_are_made_from_one_scan_and_one_shuffle(spark, path):
+    spark.range(500).selectExpr("id", "id % 3 AS a", "array(id % 5) AS t").write.parquet(path)
+    words = B.bit_postings(spark.read.parquet(path), "id", ["a", "t"], 4)
+    text = plan(words)
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert words.filter("field = '_rows'").selectExpr("sum(n)").head()[0] == 500
