@@ -271,7 +271,7 @@ def save_searchable(
     """Save a table and its postings as catalog tables ``name`` and ``name_postings``.
 
     Both are bucketed by the row key into the same number of buckets, so joins of the two need no
-    shuffle on either side.
+    shuffle on either side. A large bucket is written by several tasks, as several files.
     """
     root = location.rstrip("/")
 
@@ -281,9 +281,9 @@ def save_searchable(
             writer = writer.partitionBy(*fields)
         writer.option("path", f"{root}/{table_name}").saveAsTable(table_name)
 
-    save(df.repartition(buckets, F.col(P.quoted(key))), name, key, [key], [])
+    save(df.hint("rebalance", P.quoted(key)), name, key, [key], [])
     terms = postings(df.sparkSession.table(name), key, paths)
-    save(terms.repartition(buckets, "key"), f"{name}_postings", "key", ORDER[1:], ["field"])
+    save(terms.hint("rebalance", "key"), f"{name}_postings", "key", ORDER[1:], ["field"])
 
 
 def term_counts(postings: DataFrame) -> DataFrame:
