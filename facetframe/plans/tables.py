@@ -26,7 +26,7 @@ from facetframe.plans.prepared import (
 )
 from facetframe.plans.registry import query
 from facetframe.sources.nested import ORDERS_SQL, orders_nested, table
-from facetframe.sources.scratch import scratch_path
+from facetframe.sources.scratch import scratch_path, stored
 from facetframe.sources.tables import Layout, compact, read_table, write_table
 from facetframe.sources.versions import (
     Summary,
@@ -375,9 +375,8 @@ def promoted_filter(spark, sf_dir):
     )
 
 
-def _halves(spark, sf_dir):
-    """Nested orders in two batches by their key."""
-    orders = nested_orders(spark, sf_dir)
+def _halves(orders):
+    """Orders in two batches by their key."""
     first = col("o_orderkey") % 3 == 0
     return orders.filter(first), orders.filter(~first)
 
@@ -389,7 +388,7 @@ WHERE year IN (1995, 1996)"""
 )
 def append_partitioned(spark, sf_dir):
     path = scratch_path(spark, "appended_by_year")
-    first, rest = _halves(spark, sf_dir)
+    first, rest = _halves(nested_orders(spark, sf_dir))
     write_table(first, path, partition_by=["year"], sort_by=["attrs.status"])
     write_table(rest, path, mode="append")
     in_folder = F.input_file_name().contains(F.concat(F.lit("/year="), col("year").cast("string"), F.lit("/")))
@@ -406,7 +405,7 @@ WHERE attrs['status'] = 'F' AND attrs['tier.1'] = 'high'"""
 )
 def append_promoted(spark, sf_dir):
     path, terms = scratch_path(spark, "appended_promoted"), scratch_path(spark, "appended_promoted_terms")
-    first, rest = _halves(spark, sf_dir)
+    first, rest = _halves(stored(nested_orders(spark, sf_dir), "appended_promoted_source"))
     write_table(first, path, promote=["attrs.status", "attrs.`tier.1`"], bloom=["o_orderkey"])
     write_postings(postings(read_table(spark, path), "o_orderkey", ["flags"]), terms)
     append_rows(rest, path, terms, "o_orderkey")
@@ -415,9 +414,13 @@ def append_promoted(spark, sf_dir):
 
 
 def _versioned_orders(spark, sf_dir, name):
-    """Orders in versions: a first batch, the rest by status, with postings and a summary."""
+    """Orders in versions: a first batch, the rest by status, with postings and a summary.
+
+    The nested orders are derived once and stored; they are returned with the root.
+    """
     root = scratch_path(spark, name)
-    first, rest = _halves(spark, sf_dir)
+    orders = stored(nested_orders(spark, sf_dir), f"{name}_source")
+    first, rest = _halves(orders)
     create_versioned(
         first,
         root,
@@ -429,7 +432,7 @@ def _versioned_orders(spark, sf_dir, name):
     )
     for status in "FOP":
         append_batch(rest.filter(col("o_orderstatus") == status), root, f"rest-{status}", new_keys=True)
-    return root
+    return root, orders
 
 
 @query(
@@ -438,8 +441,8 @@ def _versioned_orders(spark, sf_dir, name):
 WHERE list_contains(flags, 'A') AND attrs['status'] = 'F'"""
 )
 def append_twice(spark, sf_dir):
-    root = _versioned_orders(spark, sf_dir, "appended_twice")
-    _, rest = _halves(spark, sf_dir)
+    root, orders = _versioned_orders(spark, sf_dir, "appended_twice")
+    _, rest = _halves(orders)
     append_batch(rest.filter("o_orderstatus = 'F'"), root, "rest-F")  # applied before: nothing changes
     found = lookup_all(
         read_versioned(spark, root),
@@ -460,8 +463,7 @@ SELECT o_orderkey, o_totalprice, status FROM changed
 WHERE status IN ('new', 'F') AND list_contains(flags, 'R')"""
 )
 def upsert_batches(spark, sf_dir):
-    root = _versioned_orders(spark, sf_dir, "upserted_batches")
-    orders = nested_orders(spark, sf_dir)
+    root, orders = _versioned_orders(spark, sf_dir, "upserted_batches")
     again = orders.filter("o_orderkey % 7 = 1").withColumn("attrs", F.create_map(F.lit("status"), F.lit("old")))
     upsert_batch(again, root, "once")
     upsert_batch(again.withColumn("attrs", F.create_map(F.lit("status"), F.lit("new"))), root, "twice")
@@ -481,9 +483,9 @@ UNION ALL SELECT 'new', year, count(*), round(sum(o_totalprice), 2), true
 FROM orders_nested WHERE o_orderkey % 5 <> 0 GROUP BY year"""
 )
 def compact_in_place(spark, sf_dir):
-    root = _versioned_orders(spark, sf_dir, "compacted_in_place")
+    root, orders = _versioned_orders(spark, sf_dir, "compacted_in_place")
     old = read_versioned(spark, root)
-    delete_batch(nested_orders(spark, sf_dir).filter("o_orderkey % 5 = 0").select("o_orderkey"), root)
+    delete_batch(orders.filter("o_orderkey % 5 = 0").select("o_orderkey"), root)
     many = len(version_files(spark, root))
     compact_batches(spark, root)
     new = read_versioned(spark, root)
@@ -520,14 +522,14 @@ def _summary(spark, root):
 
 @query(ORDERS_SQL + SUMMARY_SQL + " WHERE year > 1993 GROUP BY ALL")
 def summary_after_append(spark, sf_dir):
-    root = _versioned_orders(spark, sf_dir, "summarised")
+    root, _ = _versioned_orders(spark, sf_dir, "summarised")
     return _summary(spark, root).filter("year > 1993")
 
 
 @query(ORDERS_SQL + SUMMARY_SQL + " WHERE o_orderkey % 4 <> 1 GROUP BY ALL")
 def summary_after_delete(spark, sf_dir):
-    root = _versioned_orders(spark, sf_dir, "summarised_again")
-    keys = nested_orders(spark, sf_dir).filter("o_orderkey % 4 = 1").select("o_orderkey")
+    root, orders = _versioned_orders(spark, sf_dir, "summarised_again")
+    keys = orders.filter("o_orderkey % 4 = 1").select("o_orderkey")
     delete_batch(keys, root)
     return _summary(spark, root)
 

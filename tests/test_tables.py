@@ -1,4 +1,5 @@
 import glob
+from uuid import uuid4
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,8 @@ from facetframe import compact, contains_value, path_column, promote, read_table
 from facetframe import without_promoted, write_table
 from facetframe.functions.paths import promoted_columns
 from facetframe.operators import joins
+from facetframe.operators.postings import postings, save_searchable, write_postings
+from facetframe.plans.tables import _versioned_orders
 from facetframe.sources import scratch
 from facetframe.sources.tables import partition_columns
 from tables import ids, isbns, plan
@@ -236,3 +239,50 @@ def test_sessions_keep_their_own_settings(spark, books, path):
     write_table(books, path, partition_by=["bought"], promote=["notes.ed"])
     read_table(spark, path).count()
     assert {k: v for k, v in spark.conf.getAll.items()} == before
+
+
+@pytest.fixture()
+def small_tasks(spark):
+    """Adaptive execution takes little for much."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(name, "4k")
+    yield
+    spark.conf.unset(name)
+
+
+def _texts(spark):
+    return spark.range(0, 6000, 1, 6).select("id", F.sha2(F.col("id").cast("string"), 256).alias("t"))
+
+
+def test_compaction_sorts_no_more_than_a_range_in_a_task(spark, path, monkeypatch):
+    monkeypatch.setattr("facetframe.sources.tables.RANGE_BYTES", 20_000)
+    _texts(spark).repartition(12).write.parquet(path)
+    compact(spark, path, f"{path}-compacted", 1, sort_by=["t"])
+    found = spark.read.parquet(f"{path}-compacted")
+    assert 1 < len(found.inputFiles()) <= 6
+    assert sorted(found.collect()) == sorted(_texts(spark).collect())
+
+
+def test_sorted_rows_are_split_over_tasks(spark, path, small_tasks):
+    write_table(_texts(spark).coalesce(2).withColumn("one", F.lit(1)), path, sort_by=["one", "id"])
+    found = spark.read.parquet(path)
+    assert len(found.inputFiles()) > 4 and found.count() == 6000
+
+
+def test_postings_of_one_term_are_split_over_tasks(spark, path, small_tasks):
+    terms = postings(_texts(spark).withColumn("one", F.lit("x")), "id", ["one"])
+    write_postings(terms, path, salts=1)
+    found = spark.read.parquet(path)
+    assert len(found.inputFiles()) > 1 and found.count() == 6000
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, path, small_tasks):
+    name = f"searchable_{uuid4().hex}"
+    save_searchable(_texts(spark), name, path, "id", ["t"], 2)
+    both = [spark.table(name), spark.table(f"{name}_postings")]
+    assert all(len(t.inputFiles()) > 2 and t.count() == 6000 for t in both)
+
+
+def test_versioned_queries_derive_their_rows_once(spark):
+    _, orders = _versioned_orders(spark, "/root/testdata/sf0.001", "derived_once")
+    assert "Join" not in plan(orders)
