@@ -26,7 +26,7 @@ from facetframe.plans.prepared import (
 )
 from facetframe.plans.registry import query
 from facetframe.sources.nested import DOCS_SQL, ORDERS_SQL, table
-from facetframe.sources.scratch import scratch_path
+from facetframe.sources.scratch import scratch_path, stored
 from facetframe.sources.tables import read_table, write_table
 
 col = F.col
@@ -344,7 +344,7 @@ def lookup_join_bucketed(spark, sf_dir):
 
 @query(FOUND + "list_contains(flags, 'A') AND attrs['status'] = 'F'")
 def lookup_after_append(spark, sf_dir):
-    orders = nested_orders(spark, sf_dir)
+    orders = stored(nested_orders(spark, sf_dir), "grown_source")
     first = col("o_orderkey") % 3 == 0
     path, terms = scratch_path(spark, "grown"), scratch_path(spark, "grown_postings")
     write_table(orders.filter(first), path)
