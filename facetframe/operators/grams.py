@@ -31,7 +31,9 @@ def term_grams(counts: DataFrame) -> DataFrame:
 
 def write_grams(grams: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """Write the pieces sorted, one directory per field, spread by piece and term."""
-    placed = grams.repartition("field", "path", "gram", F.pmod(F.xxhash64("value"), F.lit(8)))
+    salt = F.pmod(F.xxhash64("value"), F.lit(8))
+    placed = grams.withColumn("__place", F.hash("field", "path", "gram", salt))
+    placed = placed.hint("rebalance", "__place").drop("__place")
     ordered = placed.sortWithinPartitions("field", "path", "gram", "value")
     ordered.write.mode(mode).partitionBy("field").parquet(path)
 

@@ -210,11 +210,14 @@ def write_postings(terms: DataFrame, path: str, *, mode: str = "overwrite", salt
     """Write postings hash-partitioned by term, one directory per field, sorted by term.
 
     A salt from the row key spreads a term that most rows have over ``salts`` tasks. Hashing needs
-    no sample of the postings, so they are computed once.
+    no sample of the postings, so they are computed once. Adaptive execution splits what is too much
+    for a task to sort in memory.
     """
     salt = F.pmod(F.xxhash64("key"), F.lit(salts))
+    placed = terms.withColumn("__place", F.hash("field", "path", F.xxhash64("value"), salt))
     (
-        terms.repartition("field", "path", F.xxhash64("value"), salt)
+        placed.hint("rebalance", "__place")
+        .drop("__place")
         .sortWithinPartitions(*ORDER)
         .write.mode(mode)
         .partitionBy("field")
